@@ -491,22 +491,29 @@ def principal_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 ADDRESS = "[A-Za-z0-9._]+@[A-Za-z0-9.]+"
 
 
+def first_address() -> Column:
+    """The first address in a text, or null; only texts with an @ pay for the pattern."""
+    found = F.when(F.contains("text", F.lit("@")), F.regexp_extract("text", ADDRESS, 0))
+    return F.nullif(found, F.lit(""))
+
+
+
 @query(f"""SELECT doc_id, split_part(address, '@', 1) AS user_name FROM
     (SELECT doc_id, regexp_extract(text, '{ADDRESS}') AS address FROM documents) WHERE address <> ''""")
 def principal_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """over the first address of each document."""
-    found = table(spark, sf_dir, "documents").select(
-        "doc_id", F.regexp_extract("text", ADDRESS, 0).alias("address")
+    found = table(spark, sf_dir, "documents").select("doc_id", first_address().alias("address"))
+    return found.where("address IS NOT NULL").select(
+        "doc_id", text.principal_user("address").alias("user_name")
     )
-    return found.where("address <> ''").select("doc_id", text.principal_user("address").alias("user_name"))
 
 
 @query(f"""SELECT doc_id, CASE WHEN address = '' THEN text ELSE replace(text, address, '<<MASKED TOKEN>>') END
     AS masked FROM (SELECT doc_id, text, regexp_extract(text, '{ADDRESS}') AS address FROM documents)""")
 def mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """the secret is the first address of the document, null where there is none."""
-    secret = F.nullif(F.regexp_extract("text", ADDRESS, 0), F.lit(""))
-    return table(spark, sf_dir, "documents").select("doc_id", text.mask(F.col("text"), secret).alias("masked"))
+    masked = text.mask(F.col("text"), first_address())
+    return table(spark, sf_dir, "documents").select("doc_id", masked.alias("masked"))
 
 
 @query("""SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'no_port' ELSE 'ok' END AS status,

@@ -7,18 +7,66 @@ trigger and the checkpoint folder. The batch twins are in ``jobledger.operators.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from jobledger.operators.logs import seconds_between
 from jobledger.operators.records import is_active
 
-# Parts of a job whose polls are latched in parallel.
-PARTS = 32
+# Parts of a job whose polls are latched in parallel, and groups that share out all parts. Both are
+# part of the state: keep them when a stream restarts from its checkpoint.
+PARTS = 16
+GROUPS = 256
+
+_NEVER = 2**63 - 1
+
+# The payload crosses the Python worker as one text, since pandas would turn a long next to a null
+# into a float. All six digits of a second have to survive that.
+_JSON = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "mode": "FAILFAST",
+}
+
+
+def _latch(job_type: str) -> StatefulProcessor:
+    """Processor that keeps, per part of a job, the order of its first terminal poll.
+
+    The class is local so that it travels to the workers by value.
+    """
+
+    class Latch(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.ended = handle.getMapState("ended", f"job {job_type}, part int", "at bigint")
+
+        def handleInputRows(
+            self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
+        ) -> Iterator[pd.DataFrame]:
+            held = list(rows)
+            part = ["job", "part"]
+            ends = pd.concat([batch[[*part, "end"]] for batch in held]).groupby(part)["end"].min()
+            limits = []
+            for state_key, end in zip(ends.index.tolist(), ends.tolist()):
+                before = self.ended.getValue(state_key)
+                if before is not None and before[0] <= end:
+                    end = before[0]
+                elif end != _NEVER:
+                    self.ended.updateValue(state_key, (end,))
+                limits.append(end)
+            limit = pd.Series(limits, index=ends.index, name="limit")
+            for batch in held:
+                real = batch[batch["poll"].notna()].join(limit, on=part)
+                yield real.loc[real["at"] <= real["limit"], ["job", "poll"]]
+
+        def close(self) -> None:
+            pass
+
+    return Latch()
 
 
 def follow_until_terminal(
@@ -27,47 +75,47 @@ def follow_until_terminal(
     order: str = "poll_seq",
     state: str = "state",
     parts: int = PARTS,
+    groups: int = GROUPS,
 ) -> DataFrame:
     """Drop the polls behind the first terminal one of their job, across micro-batches.
 
     The polls of a job are cut into ``parts`` by a hash of their order, each with a latch of its
-    own, so a hot job keeps many tasks busy. A terminal poll also sends every other part a notice
-    without payload. A group holds its share of one micro-batch, which the source's rate limit
-    bounds (``maxFilesPerTrigger`` and the like). Each job's polls should arrive in order: a poll
-    that was emitted is not taken back when an earlier end turns up later.
+    own, so a hot job keeps many tasks busy; a terminal poll also sends every other part a notice
+    without payload. Parts of all jobs are shared out over ``groups``, which keeps the Python work
+    in bulk: give a few for each core. A group holds its share of one micro-batch, which the
+    source's rate limit bounds (``maxFilesPerTrigger`` and the like).
+
+    Job ids are not null. Each job's polls should arrive in order: a poll that was emitted is not
+    taken back when an earlier end turns up later. Needs the RocksDB state store.
     """
     names = polls.columns
     payload = [name for name in names if name != job]
     own = F.pmod(F.xxhash64(order), F.lit(parts)).cast("int")
     everyone = F.sequence(F.lit(0), F.lit(parts - 1))
+    end = F.when(~is_active(state), F.col(order).cast("bigint")).otherwise(F.lit(_NEVER))
+    targets = F.when(F.col("_end") == _NEVER, F.array("_own")).otherwise(everyone)
+    poll = F.when(F.col("_part") == F.col("_own"), F.to_json(F.struct(*payload), _JSON))
     sent = (
         polls.withColumn("_own", own)
-        .withColumn("_end", F.when(~is_active(state), F.col(order)).cast("bigint"))
-        .withColumn("_part", F.explode(F.when(F.col("_end").isNull(), F.array("_own")).otherwise(everyone)))
-        .withColumn("_poll", F.when(F.col("_part") == F.col("_own"), F.struct(*payload)))
-        .select(job, "_part", F.col(order).cast("bigint").alias("_at"), "_end", "_poll")
+        .withColumn("_end", end)
+        .withColumn("_part", F.explode(targets))
+        .select(
+            F.pmod(F.xxhash64(job, "_part"), F.lit(groups)).cast("int").alias("share"),
+            F.col(job).alias("job"),
+            F.col("_part").alias("part"),
+            F.col(order).cast("bigint").alias("at"),
+            F.col("_end").alias("end"),
+            poll.alias("poll"),
+        )
     )
-
-    def latch(
-        key: tuple, batches: Iterator[pd.DataFrame], ended: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        held = list(batches)
-        ends = [int(batch["_end"].min()) for batch in held if batch["_end"].notna().any()]
-        if ended.exists:
-            ends.append(ended.get[0])
-        if ends:
-            ended.update((min(ends),))
-        for batch in held:
-            keep = batch["_poll"].notna()
-            if ends:
-                keep &= batch["_at"] <= min(ends)
-            yield batch.loc[keep, [job, "_poll"]]
-
-    shape = T.StructType([polls.schema[job], sent.schema["_poll"]])
-    kept = sent.groupBy(job, "_part").applyInPandasWithState(
-        latch, shape, "ended bigint", "append", GroupStateTimeout.NoTimeout
+    kept = sent.groupBy("share").transformWithStateInPandas(
+        _latch(sent.schema["job"].dataType.simpleString()),
+        T.StructType([sent.schema["job"], sent.schema["poll"]]),
+        "append",
+        "none",
     )
-    return kept.select(job, "_poll.*").select(*names)
+    row = F.from_json("poll", polls.select(*payload).schema, _JSON).alias("row")
+    return kept.select(F.col("job").alias(job), row).select(job, "row.*").select(*names)
 
 
 def new_lines(

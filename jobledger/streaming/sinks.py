@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# Keyed state beyond the memory of the executors needs this store.
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def drain(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
     """Process all available input and return the table written below ``folder``.
@@ -23,10 +27,17 @@ def drain(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
             rows.write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
 
         writer = writer.foreachBatch(write)
-    query = writer.trigger(availableNow=True).start()
+    # A query takes over the settings at its start, so the session gets its own back at once.
+    spark = stream.sparkSession
+    before = spark.conf.get(_STORE)
+    spark.conf.set(_STORE, _ROCKSDB)
+    try:
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(_STORE, before)
     try:
         query.awaitTermination()
     finally:
         query.stop()
     schema = stream.schema if mode == "append" else stream.schema.add("epoch", T.LongType())
-    return stream.sparkSession.read.schema(schema).parquet(table)
+    return spark.read.schema(schema).parquet(table)
