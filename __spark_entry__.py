@@ -469,7 +469,8 @@ def merge_conf(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN o_orderkey % 3 <> 0 THEN map('spark.b', 'tool', 'spark.c', o_orderstatus) END AS mid",
         "CASE WHEN o_orderkey % 5 = 0 THEN map('spark.a', 'cli', 'spark.logConf', 'false') END AS top",
     )
-    return layered.select("id", F.explode(text.merge_conf("low", "mid", "top")).alias("key", "value"))
+    # Never empty; the outer explode builds the map once, without a look at its size first.
+    return layered.select("id", F.explode_outer(text.merge_conf("low", "mid", "top")).alias("key", "value"))
 
 
 # --- Text -------------------------------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from jobledger.functions.logs import _col
+from jobledger.functions.logs import _col, bind
 
 # The schemes that the cluster reads by itself.
 CLUSTER_SCHEMES = ("hdfs", "s3")
@@ -56,30 +56,37 @@ def resolve_artifact(
     packed = kind.isin("env", "archive")
     found = scheme(uri)
     parts = F.split(uri, "#")
-    linked = packed & (found == "") & (F.size(parts) == 2)
-    base = F.when(linked, F.get(parts, 0)).otherwise(uri)
-    symlink = F.when(linked, F.nullif(F.get(parts, 1), F.lit("")))
+    linked = packed & (F.size(parts) == 2) & (found == "")
     action = (
         F.when(packed & found.isin(*CLUSTER_SCHEMES), F.lit("pass"))
         .when(packed & (found != ""), F.lit("reject"))
         .otherwise(F.lit("upload"))
     )
-    uploaded = F.concat(run_dir, F.lit("/"), F.substring_index(base, "/", -1))
-    on_cluster = F.concat(F.lit("hdfs://"), uploaded)
+
+    def uploaded(path: Column) -> Column:
+        return F.concat(run_dir, F.lit("/"), F.substring_index(path, "/", -1))
+
     rejected = F.lit(None).cast("string")
     if strict:
         rejected = F.raise_error(F.concat(F.lit("no hdfs, s3 or local path: "), uri)).cast("string")
-    output = (
-        F.when(action == "pass", uri)
-        .when(action == "reject", rejected)
-        .when(kind == "file", uploaded)
-        .when(symlink.isNotNull(), F.concat(on_cluster, F.lit("#"), symlink))
-        .otherwise(on_cluster)
+    local = F.when(
+        packed & (F.size(parts) == 2),
+        F.concat(
+            uploaded(parts[0]), F.when(parts[1] != "", F.concat(F.lit("#"), parts[1])).otherwise("")
+        ),
+    ).otherwise(uploaded(uri))
+    output = F.when(kind == "file", uploaded(uri)).otherwise(
+        bind(
+            action,
+            lambda action: F.when(action == "pass", uri)
+            .when(action == "reject", rejected)
+            .otherwise(F.concat(F.lit("hdfs://"), local)),
+        )
     )
     return F.struct(
         found.alias("scheme"),
-        base.alias("base"),
-        symlink.alias("symlink"),
+        F.when(linked, parts[0]).otherwise(uri).alias("base"),
+        F.when(linked, F.nullif(parts[1], F.lit(""))).alias("symlink"),
         action.alias("action"),
         output.alias("output"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, also inside the lambda of an array function."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def split_log(log: Column | str, strict: bool = False) -> Column:
     """Struct (stdout, stderr, status): the lines before the stderr header, and the rest with it.
 

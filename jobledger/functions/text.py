@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from jobledger.functions.logs import _col
+from jobledger.functions.logs import _col, bind
 
 # Fixed value: what a masked secret is replaced by.
 MASK = "<<MASKED TOKEN>>"
@@ -56,19 +56,26 @@ def parse_kv(items: Column | str, strict: bool = False) -> Column:
 
     If any item has no ``=`` the map is null and the status ``no_equals``; ``strict`` raises.
     """
-    items = _col(items)
-    bad = F.exists(items, lambda item: ~F.contains(item, F.lit("=")))
-    pairs = F.transform(items, lambda item: F.split(item, "=", 2))
-    keys = F.array_distinct(F.transform(pairs, lambda pair: F.get(pair, 0)))
-    values = F.transform(
-        keys,
-        lambda key: F.get(F.element_at(F.filter(pairs, lambda pair: F.get(pair, 0) == key), -1), 1),
-    )
     failed = F.raise_error(F.lit("item has no =")) if strict else F.lit("no_equals")
-    return F.struct(
-        F.when(~bad, F.map_from_arrays(keys, values)).alias("conf"),
-        F.when(bad, failed).otherwise(F.lit("ok")).alias("status"),
-    )
+
+    def parsed(pairs: Column) -> Column:
+        bad = F.coalesce(F.exists(pairs, lambda pair: F.size(pair) < 2), F.lit(False))
+        return F.struct(
+            F.when(~bad, _last_wins(pairs)).alias("conf"),
+            F.when(bad, failed).otherwise(F.lit("ok")).alias("status"),
+        )
+
+    return bind(F.transform(_col(items), lambda item: F.split(item, "=", 2)), parsed)
+
+
+def _last_wins(pairs: Column, key: int | str = 0, value: int | str = 1) -> Column:
+    """Map of an array of pairs, without asking the session what to do with equal keys."""
+    keys = F.array_distinct(F.transform(pairs, lambda pair: pair[key]))
+
+    def last(wanted: Column) -> Column:
+        return F.element_at(F.filter(pairs, lambda pair: pair[key] == wanted), -1)[value]
+
+    return bind(keys, lambda keys: F.map_from_arrays(keys, F.transform(keys, last)))
 
 
 def merge_conf(*layers: Column | str, log_conf: bool = True) -> Column:
@@ -77,18 +84,12 @@ def merge_conf(*layers: Column | str, log_conf: bool = True) -> Column:
     ``log_conf`` adds the ``spark.logConf`` entry every submission carries. The merge names its
     winner, so it does not depend on the session's policy for duplicate map keys.
     """
-    empty = F.create_map().cast("map<string,string>")
-    merged = empty
-    tops = [_col(layer) for layer in layers]
+    layers = [_col(layer) for layer in layers]
     if log_conf:
-        tops.append(F.create_map(F.lit("spark.logConf"), F.lit("true")))
-    for top in tops:
-        merged = _overwrite(merged, F.coalesce(top, empty))
-    return merged
-
-
-def _overwrite(base: Column, top: Column) -> Column:
-    return F.map_concat(F.map_filter(base, lambda key, _: ~F.map_contains_key(top, key)), top)
+        layers.append(F.create_map(F.lit("spark.logConf"), F.lit("true")))
+    none = F.array().cast("array<struct<key:string,value:string>>")
+    entries = F.concat(*[F.coalesce(F.map_entries(layer), none) for layer in layers])
+    return bind(entries, lambda entries: _last_wins(entries, "key", "value"))
 
 
 def request_json(*fields: Column | str) -> Column:

@@ -32,10 +32,13 @@ def first_seen_lines(
     The rank is cut to 1 before the shuffle, so a line that fills a log sends one row per task.
     Sort by (job, order, pos) to read the log.
     """
-    exploded = polls.select(job, order, F.posexplode(lines).alias("pos", "line"))
+    # The plain explode would first filter on the size of the array, and so build an array that is
+    # computed (a split text, a slice of a log) three times.
+    exploded = polls.select(job, order, F.posexplode_outer(lines).alias("pos", "line"))
     first = Window.partitionBy(job, "line").orderBy(order, "pos")
     return (
-        exploded.withColumn("_rank", F.row_number().over(first))
+        exploded.where(F.col("pos").isNotNull())
+        .withColumn("_rank", F.row_number().over(first))
         .where(F.col("_rank") == 1)
         .drop("_rank")
     )

@@ -83,7 +83,8 @@ def page(
 def _ranked_page(
     records: DataFrame, start: int, size: int | None, key: str, slab: int = SLAB
 ) -> DataFrame:
-    slab_of = F.floor(F.col(key) / F.lit(slab)).cast("bigint")
+    # A slab is named by its first key; integer arithmetic keeps large keys exact.
+    slab_of = F.col(key) - F.pmod(F.col(key), F.lit(slab))
     counts = records.groupBy(slab_of.alias("_slab")).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slab, so this single-task running sum sees keys/SLAB rows.
@@ -92,17 +93,18 @@ def _ranked_page(
     if size is not None:
         overlap &= F.col("_before") < start + size
     starts = starts.where(overlap).select("_slab", "_before")
-    span = starts.agg(
-        F.struct(F.min("_slab").alias("low"), F.max("_slab").alias("high")).alias("span")
-    ).scalar()
+    low = starts.agg(F.min("_slab").alias("low")).scalar()
+    candidates = records.where(F.col(key) >= low)
+    if size is not None:
+        high = starts.agg((F.max("_slab") + F.lit(slab)).alias("high")).scalar()
+        candidates = candidates.where(F.col(key) < high)
     within = Window.partitionBy("_slab").orderBy(key)
     rank = F.col("_before") + F.row_number().over(within) - 1
     inside = F.col("_rank") >= start
     if size is not None:
         inside &= F.col("_rank") < start + size
     return (
-        records.withColumn("_slab", slab_of)
-        .where(F.col("_slab").between(span["low"], span["high"]))
+        candidates.withColumn("_slab", slab_of)
         .join(starts, "_slab")
         .withColumn("_rank", rank)
         .where(inside)

@@ -23,24 +23,31 @@ def submission_requests(jobs: DataFrame, run_dir: Column) -> DataFrame:
 
     none = F.array().cast("array<string>")
     env = F.when(F.col("conda_env").isNotNull(), F.array("conda_env")).otherwise(none)
-    env_files = resolved("env", env)
+    resolved_jobs = jobs.withColumns(
+        {"_env": resolved("env", env), "_archives": resolved("archive", F.coalesce("archives", none))}
+    )
     # An environment on the cluster leads; an uploaded one goes last, behind the other archives.
-    leading = F.filter(env_files, lambda file: file["action"] == "pass")
-    trailing = F.filter(env_files, lambda file: file["action"] != "pass")
-    archives = F.concat(leading, resolved("archive", F.coalesce("archives", none)), trailing)
-    py_files = resolved("pyFile", F.col("pyFiles"))
+    leading = F.filter("_env", lambda file: file["action"] == "pass")
+    trailing = F.filter("_env", lambda file: file["action"] != "pass")
+    ordered = resolved_jobs.withColumn("_files", F.concat(leading, "_archives", trailing))
     rejected = F.transform(
-        F.filter(archives, lambda file: file["action"] == "reject"), lambda file: file["base"]
+        F.filter("_files", lambda file: file["action"] == "reject"), lambda file: file["base"]
     )
 
     ready = {
         "file": resolve_artifact(F.lit("file"), F.col("file"), run_dir)["output"],
-        "archives": F.transform(archives, lambda file: file["output"]),
-        "pyFiles": F.transform(py_files, lambda file: file["output"]),
-        "conf": merge_conf("conf", F.create_map(F.lit("spark.logConf"), F.lit("true")),
-                           python_conf("conda_env"), log_conf=False),
+        "archives": F.transform("_files", lambda file: file["output"]),
+        "pyFiles": F.transform(resolved("pyFile", F.col("pyFiles")), lambda file: file["output"]),
+        "conf": merge_conf(
+            "conf",
+            F.create_map(F.lit("spark.logConf"), F.lit("true")),
+            python_conf("conda_env"),
+            log_conf=False,
+        ),
     }
     fields = [ready.get(name, F.col(name)).alias(name) for name in REQUEST_FIELDS]
-    return jobs.withColumn("rejected", rejected).withColumn(
-        "request", F.when(F.size("rejected") == 0, request_json(*fields))
+    return (
+        ordered.withColumn("rejected", rejected)
+        .withColumn("request", F.when(F.size("rejected") == 0, request_json(*fields)))
+        .drop("_env", "_archives", "_files")
     )

@@ -68,5 +68,6 @@ def config_layer(settings: DataFrame, job: str) -> DataFrame:
         F.col(job).alias("job_id"),
         F.lit(NOTEBOOK_LAYER).alias("layer"),
         F.lit(0).alias("seq"),
-        F.explode(F.map_concat(kept, own)).alias("key", "value"),
+        # Never empty; the outer explode builds the map once, without a look at its size first.
+        F.explode_outer(F.map_concat(kept, own)).alias("key", "value"),
     )

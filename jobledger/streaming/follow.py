@@ -130,10 +130,12 @@ def new_lines(
     State is keyed by (job, line) and kept for ever, as in the batch form. With ``event_time`` and
     ``horizon`` it is dropped after the horizon, and a line may then come out again.
     """
+    columns = [job] if horizon is None else [job, event_time]
+    # As in the batch form, the outer explode builds a computed array once.
+    exploded = polls.select(*columns, F.explode_outer(lines).alias("line")).where("line IS NOT NULL")
     if horizon is None:
-        return polls.select(job, F.explode(lines).alias("line")).dropDuplicates([job, "line"])
-    timed = polls.select(job, event_time, F.explode(lines).alias("line"))
-    return timed.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([job, "line"])
+        return exploded.dropDuplicates([job, "line"])
+    return exploded.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([job, "line"])
 
 
 def follow_stream(

@@ -92,7 +92,6 @@ def test_ranks_are_cut_before_the_shuffle(plan, hot, operator):
 def test_distinct_lines_are_counted_in_two_steps(plan, hot):
     polls = hot.selectExpr("job AS batch_id", "1 AS total", "array(string(seq)) AS lines")
     shown = plan(log_ops.follow_totals(polls))
-    assert "hashpartitioning(batch_id" in shown.replace("Arguments: ", "")
     exchanges = [part for part in shown.split("\n\n") if "Exchange\n" in part and "hashpartitioning" in part]
     assert any("line" in part.split("Arguments")[1] for part in exchanges)
 
