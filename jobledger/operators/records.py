@@ -121,13 +121,13 @@ def name_collisions(new: DataFrame, known: DataFrame, order: str = "id") -> Data
     """
     first = F.min("id") if order == "id" else F.min_by("id", order)
     owners = known.where(F.col("name").isNotNull()).groupBy("name").agg(first.alias("taken_by"))
-    return lookup_join(new, owners, ["name"], ["id"])
+    return lookup_join(new, owners, "name", ["id"])
 
 
 def accepted(new: DataFrame, known: DataFrame) -> DataFrame:
     """New jobs whose name is free."""
     taken = known.where(F.col("name").isNotNull()).select("name").distinct()
-    return lookup_join(new, taken, ["name"], ["id"], "left_anti")
+    return lookup_join(new, taken, "name", ["id"], "left_anti")
 
 
 def known_ids(
@@ -146,7 +146,7 @@ def known_ids(
     joined = (
         rows.join(known, key, how)
         if spread_by is None
-        else lookup_join(rows, known, [key], [spread_by], how)
+        else lookup_join(rows, known, key, [spread_by], how)
     )
     return joined if flag is None else joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
 

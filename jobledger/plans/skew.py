@@ -1,58 +1,95 @@
 """Joins and per-key facts in which no task ever holds all rows of a hot key.
 
-One job may own a third of all polls, one name a third of all submissions. Both helpers cut every
-key into slots by a hash of another column and join on (key, slot). The small side carries one row
-per (key, slot) that occurs, so it is never larger than the narrow projection of the big side and
-holds at most ``SLOTS`` rows per key. Results are exact and the slot is a pure function of the row,
-so a re-run task after a lost executor writes the same rows to the same places.
+One job may own a third of all polls, one name a third of all submissions. Keys are counted first,
+with a partial count in every task. A key with more than ``HOT_ROWS`` rows is hot: its answer comes
+from a broadcast table, and its rows are spread over slots, where they match nothing else. So are
+rows whose key is null. All other rows join by key as usual. There are at most rows / ``HOT_ROWS``
+hot keys, which bounds the broadcast: a million short rows for 10^12 rows of input.
+
+Results are exact. The slot is a pure function of the row, so a task that is run again after a lost
+executor sends the same rows to the same places.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A third of 10^12 rows over 2^16 slots is about 5 million rows a slot.
+HOT_ROWS = 1_000_000
 SLOTS = 1 << 16
-_SLOT = "_slot"
 
 
 def slot(*columns: str) -> Column:
+    """A slot from the hash of the columns.
+
+    Also the second join key of ordinary rows, from the key itself on both sides: Catalyst would
+    take a constant out of the join keys, and with it the spreading of the hot rows.
+    """
     return F.pmod(F.xxhash64(*columns), F.lit(SLOTS)).cast("int")
 
 
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
-    on: Sequence[str],
+    on: str,
     spread_by: Sequence[str],
     how: str = "left",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``left`` to a ``right`` that has one row per key, with ``left`` free to be hot in a key.
 
     ``spread_by`` names columns of ``left`` that differ between the rows of one key.
     ``how`` is ``left``, ``left_semi`` or ``left_anti``.
     """
-    on = list(on)
-    cut = left.withColumn(_SLOT, slot(*spread_by))
-    wanted = cut.select(*on, _SLOT).distinct()
-    answers = wanted.join(right, on)
-    return cut.join(answers, [*on, _SLOT], how).drop(_SLOT)
+    added = [name for name in right.columns if name != on] if how == "left" else []
+    answers = right.select(on, *added).withColumn("_match", F.lit(True))
+    counts = left.groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > hot_rows).select(on)
+    hot_answers = answers.join(F.broadcast(hot), on, "left_semi")
+    joined = _hot_and_cold(
+        left, hot.join(hot_answers, on, "left"), answers, on, spread_by, [*added, "_match"]
+    )
+    if how == "left_semi":
+        joined = joined.where("_match")
+    elif how == "left_anti":
+        joined = joined.where("_match IS NULL")
+    return joined.select(*left.columns, *added)
 
 
 def with_key_minimum(
-    rows: DataFrame, key: str, spread_by: str, value: Column, name: str
+    rows: DataFrame,
+    key: str,
+    spread_by: str,
+    value: Column,
+    name: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add to every row the minimum of ``value`` over all rows of its key (null if none).
+    """Add to every row the minimum of ``value`` over all rows of its key (null if none)."""
+    facts = rows.groupBy(key).agg(F.min(value).alias(name), F.count(F.lit(1)).alias("_n"))
+    hot = facts.where(F.col("_n") > hot_rows)
+    cold = facts.where((F.col("_n") <= hot_rows) & F.col(name).isNotNull())
+    joined = _hot_and_cold(rows, hot, cold, key, [spread_by], [name])
+    return joined.select(*rows.columns, name)
 
-    The minimum per (key, slot) is combined before the shuffle; the window then sees at most
-    ``SLOTS`` rows per key, and keys without any value drop out before the join.
-    """
-    cut = rows.withColumn(_SLOT, slot(spread_by))
-    per_slot = cut.groupBy(key, _SLOT).agg(F.min(value).alias(name))
-    per_key = per_slot.select(
-        key, _SLOT, F.min(name).over(Window.partitionBy(key)).alias(name)
-    ).where(F.col(name).isNotNull())
-    return cut.join(per_key, [key, _SLOT], "left").drop(_SLOT)
+
+def _hot_and_cold(
+    rows: DataFrame,
+    hot: DataFrame,
+    cold: DataFrame,
+    key: str,
+    spread_by: Sequence[str],
+    added: Sequence[str],
+) -> DataFrame:
+    hot = hot.select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in added])
+    cold = cold.select(key, slot(key).alias("_slot"), *[F.col(c).alias(f"_cold_{c}") for c in added])
+    alone = F.col("_hot").isNotNull() | F.col(key).isNull()
+    # Slots from SLOTS on have no match.
+    spread = F.when(alone, F.lit(SLOTS) + slot(*spread_by)).otherwise(slot(key))
+    joined = (
+        rows.join(F.broadcast(hot), key, "left")
+        .withColumn("_slot", spread)
+        .join(cold, [key, "_slot"], "left")
+    )
+    return joined.withColumns({c: F.coalesce(f"_hot_{c}", f"_cold_{c}") for c in added})

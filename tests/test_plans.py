@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,31 +48,69 @@ def test_slots_split_a_hot_key(hot):
     assert largest_share(hot.withColumn("slot", skew.slot("seq")), "job", "slot") < 300
 
 
+@pytest.mark.parametrize("hot_rows", [10, 10**6])
 @pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
-def test_lookup_join_equals_join(hot, spark, how, no_broadcast):
-    names = spark.range(0, 9000, 2).selectExpr("id AS job", "concat('n', id) AS name")
-    left = hot.union(spark.sql("SELECT NULL, -1L"))
-    found = lookup_join(left, names, ["job"], ["seq"], how)
-    expected = left.join(names, "job", how)
-    assert found.columns == expected.columns
+@pytest.mark.parametrize("known", ["even", "odd"])
+def test_lookup_join_equals_join(hot, spark, how, known, hot_rows, no_broadcast):
+    first = ["even", "odd"].index(known)
+    names = spark.range(first, 9000, 2).selectExpr("id AS job", "concat('n', id) AS name")
+    left = hot.union(spark.sql("SELECT NULL, -1L")).select("seq", "job")
+    found = lookup_join(left, names, "job", ["seq"], how, hot_rows)
+    expected = left.join(names, "job", how).select(*found.columns)
     assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
 
 
-def test_key_minimum(hot):
-    value = F.when(F.col("seq") % 7 == 6, F.col("seq"))
-    found = {r.job: r.low for r in with_key_minimum(hot, "job", "seq", value, "low").collect()}
-    plain = hot.groupBy("job").agg(F.min(value).alias("low")).collect()
-    assert found == {r.job: r.low for r in plain}
-    assert with_key_minimum(hot, "job", "seq", value, "low").count() == 9000
+@pytest.mark.parametrize("hot_rows", [10, 10**6])
+@pytest.mark.parametrize("modulus", [7, 9])
+def test_key_minimum(hot, modulus, hot_rows):
+    # With modulus 9 no row of the hot key has a value.
+    value = F.when(F.col("seq") % modulus == modulus - 1, F.col("seq"))
+    found = with_key_minimum(hot, "job", "seq", value, "low", hot_rows)
+    plain = hot.groupBy("job").agg(F.min(value).alias("low"))
+    assert {r.job: r.low for r in found.collect()} == {r.job: r.low for r in plain.collect()}
+    assert found.count() == 9000
+    if modulus == 9:
+        assert found.where("job = 0 AND low IS NOT NULL").count() == 0
 
 
-def test_wide_rows_shuffle_by_key_and_slot(spark, plan, hot, no_broadcast):
+@pytest.fixture
+def fifty_partitions(spark, no_broadcast):
+    settings = {
+        "spark.sql.shuffle.partitions": "50",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_no_task_holds_a_hot_key(spark, hot, fifty_partitions):
+    def most(df):
+        return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+    value = F.col("seq")
+    assert most(with_key_minimum(hot, "job", "seq", value, "low", 10**6)) > 3000
+    assert most(with_key_minimum(hot, "job", "seq", value, "low", 100)) < 400
+    names = spark.range(9000).selectExpr("id AS job", "'n' AS name")
+    assert most(lookup_join(hot, names, "job", ["seq"], "left", 100)) < 400
+    nulls = hot.selectExpr("nullif(job, 0) AS job", "seq")
+    assert most(lookup_join(nulls, names, "job", ["seq"])) < 400
+
+
+def test_only_hot_keys_are_broadcast(spark, plan, hot, no_broadcast):
     polls = hot.selectExpr(
         "job AS batch_id", "seq AS poll_seq", "'running' AS state", "array(string(seq)) AS lines"
     )
     shown = plan(log_ops.until_terminal(polls))
-    wide = [part for part in shown.split("\n\n") if "Exchange" in part and "lines" in part]
-    assert wide and all("_slot" in part for part in wide)
+    parts = shown.split("\n\n")
+    wide = [part for part in parts if "Exchange\n" in part and "lines" in part]
+    assert len(wide) == 1
+    assert re.search(r"Arguments: hashpartitioning\(batch_id#\d+L, _slot#\d+, ", wide[0])
+    sent = [part for part in parts if ") BroadcastExchange\n" in part]
+    assert len(sent) == 1 and "lines" not in sent[0]
     assert "CartesianProduct" not in shown and "BroadcastNestedLoopJoin" not in shown
 
 
