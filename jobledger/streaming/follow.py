@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,12 +128,24 @@ def new_lines(
 ) -> DataFrame:
     """(job, line): every line of a job once.
 
+    A stream has no partial step before the shuffle of a deduplication, so equal lines are first
+    reduced to one per Arrow batch; a line that fills many polls cannot flood its task.
+
     State is keyed by (job, line) and kept for ever, as in the batch form. With ``event_time`` and
     ``horizon`` it is dropped after the horizon, and a line may then come out again.
     """
     columns = [job] if horizon is None else [job, event_time]
     # As in the batch form, the outer explode builds a computed array once.
     exploded = polls.select(*columns, F.explode_outer(lines).alias("line")).where("line IS NOT NULL")
+    earliest = [] if horizon is None else [(event_time, "min")]
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups = pa.Table.from_batches([batch]).group_by([job, "line"]).aggregate(earliest)
+            ordered = groups.select([job, *[f"{name}_min" for name, _ in earliest], "line"])
+            yield from ordered.rename_columns(batch.schema.names).to_batches()
+
+    exploded = exploded.mapInArrow(combine, exploded.schema)
     if horizon is None:
         return exploded.dropDuplicates([job, "line"])
     return exploded.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([job, "line"])
