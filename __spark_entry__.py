@@ -715,26 +715,28 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
+def drained(result: DataFrame, label: str, mode: str = "append") -> DataFrame:
+    spark = result.sparkSession
+    return drain(result, fresh_dir(spark, label), mode, spark.sparkContext.defaultParallelism)
+
+
 @query(f"SELECT DISTINCT batch_id, unnest(lines) AS line FROM {until_terminal_sql(DOC_POLLS)}")
 def follow_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R1"""
-    lines = follow.follow_stream(doc_polls(stream(spark, sf_dir, "documents")))
-    return drain(lines, fresh_dir(spark, "follow"))
+    return drained(follow.follow_stream(doc_polls(stream(spark, sf_dir, "documents"))), "follow")
 
 
 @query(f"SELECT batch_id, poll_seq, state FROM {until_terminal_sql(EVENT_POLLS)}")
 def follow_until_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2"""
     polls = event_polls(stream(spark, sf_dir, "events")).select("batch_id", "poll_seq", "state")
-    return drain(follow.follow_until_terminal(polls), fresh_dir(spark, "latch"))
+    return drained(follow.follow_until_terminal(polls), "latch")
 
 
 @query(f"SELECT batch_id, active_us AS waited_us FROM ({POLL_OUTCOME}) WHERE active_us > 60000000")
 def stuck_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R3"""
-    alerts = drain(
-        follow.stuck_jobs(event_polls(stream(spark, sf_dir, "events"))), fresh_dir(spark, "stuck"), "update"
-    )
+    alerts = drained(follow.stuck_jobs(event_polls(stream(spark, sf_dir, "events"))), "stuck", "update")
     micros = (F.max("waited") * 1_000_000).cast("bigint").alias("waited_us")
     return alerts.groupBy("batch_id").agg(micros)
 

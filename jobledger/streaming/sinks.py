@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -10,12 +11,17 @@ _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def drain(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
+def drain(
+    stream: DataFrame, folder: str, mode: str = "append", partitions: int | None = None
+) -> DataFrame:
     """Process all available input and return the table written below ``folder``.
 
     ``append`` uses the file sink, which commits each micro-batch once. ``update`` overwrites one
     directory per micro-batch, so a repeated micro-batch leaves no second copy; the table then has
     a column ``epoch``. Running again with the same folder goes on where the last run stopped.
+
+    ``partitions`` is the number of state partitions, by default the session's shuffle partitions.
+    Each has a store and a worker of its own, so about one per core does. The first run fixes it.
     """
     table = f"{folder}/table"
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint")
@@ -29,15 +35,24 @@ def drain(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
         writer = writer.foreachBatch(write)
     # A query takes over the settings at its start, so the session gets its own back at once.
     spark = stream.sparkSession
-    before = spark.conf.get(_STORE)
-    spark.conf.set(_STORE, _ROCKSDB)
+    wanted = {_STORE: _ROCKSDB}
+    if partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {name: spark.conf.get(name) for name in wanted}
     try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
         query = writer.trigger(availableNow=True).start()
     finally:
-        spark.conf.set(_STORE, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     try:
         query.awaitTermination()
     finally:
         query.stop()
     schema = stream.schema if mode == "append" else stream.schema.add("epoch", T.LongType())
-    return spark.read.schema(schema).parquet(table)
+    try:
+        return spark.read.schema(schema).parquet(table)
+    except AnalysisException:
+        # There was no input yet, and so no table.
+        return spark.createDataFrame([], schema)

@@ -103,6 +103,14 @@ def test_drain_goes_on_from_its_checkpoint(spark, tmp_path):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
 
 
+@pytest.mark.parametrize("mode", ["append", "update"])
+def test_drain_without_input(spark, tmp_path, mode):
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("n long").json(str(tmp_path / "in"))
+    found = drain(stream, str(tmp_path / "out"), mode)
+    assert found.collect() == [] and found.columns[0] == "n"
+
+
 def test_horizon_bounds_the_state(polls, tmp_path):
     data = with_extras([(1, 0, "running", 1, ["a"]), (1, 1, "running", 1, ["a", "b"])])
     timed = polls(data).withColumn("ts", F.col("ts").cast("timestamp"))
