@@ -1,4 +1,7 @@
 import json
+import os
+import random
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,3 +195,37 @@ def test_submission_requests(rows):
     second = json.loads(found[1].request)
     assert second["archives"] == ["hdfs:///e.zip"] and "pyFiles" not in second
     assert found[2].request is None and found[2].rejected == ["ftp://x/y#z"]
+
+
+def test_env_python_agrees_with_url_parsing(apply):
+    rng = random.Random(11)
+    pieces = ["hdfs", "s3", "S3", "file", "a", "b.zip", ":", "/", "//", "#", "?", ";", "=", ".", " ", "@", "-1"]
+    uris = ["".join(rng.choices(pieces, k=rng.randint(0, 7))).strip() for _ in range(3000)]
+    expected = []
+    for uri in uris:
+        parsed = urlparse(uri)
+        root = parsed.fragment or os.path.basename(parsed.path)
+        # Only what an environment may be: on the cluster, or local.
+        expected.append(f"./{root}/bin/python" if parsed.scheme in ("", "hdfs", "s3") else None)
+    schemes = [urlparse(uri).scheme for uri in uris]
+    assert apply(uris, artifacts.scheme) == schemes
+    wrong = [
+        (uri, found, wanted)
+        for uri, found, wanted in zip(uris, apply(uris, artifacts.env_python), expected)
+        if wanted is not None and found != wanted
+    ]
+    assert wrong == []
+
+
+def test_splits_agree_with_python(apply):
+    rng = random.Random(12)
+    texts = ["".join(rng.choices("ab:=@/é ", k=rng.randint(0, 8))) for _ in range(2000)]
+    for text_, found in zip(texts, apply(texts, text.split_host_port)):
+        parts = text_.rsplit(":", maxsplit=1)
+        assert tuple(found)[:2] == (tuple(parts) if len(parts) == 2 else (None, None))
+    for text_, found in zip(texts, apply(texts, lambda c: text.parse_kv(F.array(c)))):
+        assert found.conf == (dict([text_.split("=", maxsplit=1)]) if "=" in text_ else None)
+    users = [text_.split("@")[0].split("/")[0] for text_ in texts]
+    assert apply(texts, text.principal_user) == users
+    masked = [text_.replace("a:", text.MASK) for text_ in texts]
+    assert apply(texts, lambda c: text.mask(c, F.lit("a:"))) == masked
