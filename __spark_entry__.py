@@ -749,9 +749,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return first_seen_lines(spark, "/root/testdata/sf0.001")
 
 
+def training_text() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the operators on training text; empty where these are not installed."""
+    try:
+        import corpus_pipeline
+        from jobledger.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "jobledger.llm"):
+            raise
+        return {}, {}
+    found, sql = dict(llm.QUERIES), dict(llm.ORACLE_SQL)
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | training_text()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return _ORACLE | training_text()[1]
