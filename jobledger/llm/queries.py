@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import jobledger
-from jobledger.llm import dart_minhash, exact_dedup, fair_mix
+from jobledger.llm import dart_minhash, exact_dedup, fair_mix, license_scan, plane_files, subwords
 from jobledger.llm.tables import lower_ascii
+from jobledger.plans.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,6 +58,56 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query()
+def op1_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as token ids in bit-plane files, read back."""
+    import public_tokenizers
+
+    folder = fresh_dir(spark, "ids")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plane_files.write_ids(documents(spark, sf_dir), folder, path, end_id=2)
+    return plane_files.read_documents(spark, folder)
+
+
+@query(license_scan.sql(LOWER))
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every document."""
+    return license_scan.license_scan(documents(spark, sf_dir))
+
+
+def predicted(
+    spark: SparkSession,
+    sf_dir: str,
+    label: str,
+    settings: subwords.Settings,
+    fold: tuple[int, int],
+    threshold: float,
+) -> DataFrame:
+    """Scores of all documents by a model of the labelled ones outside the fold that is held out."""
+    docs = documents(spark, sf_dir)
+    held_out = subwords.remainder("doc_id", fold[0]) == fold[1]
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out)
+    model = subwords.train(*subwords.labelled(docs, labels, label, settings), settings)
+    return subwords.scored(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op7_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; case, punctuation and repeated words are part of it."""
+    return predicted(spark, sf_dir, "quality", subwords.QUALITY, (5, 0), 0.3)
+
+
+@query()
+def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return predicted(spark, sf_dir, "toxic", subwords.TOXICITY, (3, 1), 0.7)
+
+
 @query()
 def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document, named by its smallest id, and the size of the class."""
