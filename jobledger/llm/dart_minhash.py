@@ -120,23 +120,11 @@ def _throw(
     return found.reshape(texts, coordinates), filled.reshape(texts, coordinates)
 
 
-def _parts(texts: list[bytes], most: int = 1000) -> Iterator[tuple[int, int]]:
-    """Ranges of up to ``most`` texts and a slice of bytes together."""
-    first = size = 0
-    for i, text in enumerate(texts):
-        if i > first and (size + len(text) > W.SLICE or i - first >= most):
-            yield first, i
-            first, size = i, 0
-        size += len(text)
-    if first < len(texts):
-        yield first, len(texts)
-
-
 def _signed(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     """A 128-bit hash of the words of each text in order, null where it has none, and its bands."""
     for batch in batches:
         texts = W.text_bytes(batch.column("text"))
-        for first, last in _parts(texts):
+        for first, last in W.parts(texts):
             words, offsets = W.hashed_words(texts[first:last])
             text, shingle, often = weighted_shingles(words, offsets, size)
             signed = signatures(text, shingle, often, last - first, bands * rows)
@@ -172,7 +160,7 @@ def _similar(batches: Iterator[pa.RecordBatch], size: int, threshold: float) ->
             for text in pair
         ]
         linked = []
-        for first, last in _parts(texts):
+        for first, last in W.parts(texts):
             first, last = first - first % 2, last - last % 2  # whole pairs
             if first == last:
                 continue

@@ -11,7 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import jobledger
-from jobledger.llm import dart_minhash, exact_dedup, fair_mix, license_scan, plane_files, subwords
+from jobledger.llm import (
+    dart_minhash,
+    exact_dedup,
+    fair_mix,
+    license_scan,
+    line_runs,
+    plane_files,
+    string_tiling,
+    subwords,
+    suffix_dedup,
+)
 from jobledger.llm.tables import lower_ascii
 from jobledger.plans.session import fresh_dir
 
@@ -153,9 +163,28 @@ def op5_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op6_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold half of an item of the benchmark or more, with the item and the tiles."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return string_tiling.contaminated(documents(spark, sf_dir), benchmark).drop("_h")
+
+
 @query(f"""SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
     doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
     FROM (SELECT doc_id, {LOWER} AS norm FROM documents) WINDOW same AS (PARTITION BY norm)""")
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal texts, but for the case of A-Z; the largest id stays."""
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), normalise=lower_ascii, largest=True)
+
+
+@query()
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that remain once 100-byte strings that begin earlier are removed."""
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
+@query()
+def op3_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that remain once runs of three lines or more that stand earlier are removed."""
+    return line_runs.remove_runs(documents(spark, sf_dir)).drop("_h", "runs")

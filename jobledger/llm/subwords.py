@@ -16,6 +16,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -193,6 +194,21 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, "doc_id bigint, score double")
 
 
+def score_of(text: str, model: Model) -> Column:
+    """The score as a column, next to whatever other columns there are."""
+
+    @F.pandas_udf("double")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(scores([(value or "").encode() for value in texts], model))
+
+    return run(F.coalesce(F.col(text), F.lit("")))
+
+
+def drop_scored(docs: DataFrame, model: Model, threshold: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``threshold``."""
+    return docs.where(score_of(text, model) < threshold)
+
+
 def remainder(doc_id: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; null for a missing id."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(divisor))

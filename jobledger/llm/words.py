@@ -130,6 +130,18 @@ def shingles(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndar
     return total, ends
 
 
+def parts(texts: Sequence[bytes], most: int = 1000) -> Iterator[tuple[int, int]]:
+    """Ranges of up to ``most`` texts and a slice of bytes together."""
+    first = size = 0
+    for i, text in enumerate(texts):
+        if i > first and (size + len(text) > SLICE or i - first >= most):
+            yield first, i
+            first, size = i, 0
+        size += len(text)
+    if first < len(texts):
+        yield first, len(texts)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow column as bytes, a null as the empty text."""
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
