@@ -184,7 +184,23 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir))
 
 
-@query()
+_RUNS = """WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS v,
+    unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line FROM documents),
+three AS (SELECT doc_id, line, v, lead(v) OVER d AS v2, lead(v, 2) OVER d AS v3 FROM lines
+    WINDOW d AS (PARTITION BY doc_id ORDER BY line)),
+later AS (SELECT doc_id, line FROM (SELECT doc_id, line, v3, row_number() OVER
+    (PARTITION BY v, v2, v3 ORDER BY doc_id, line) AS n FROM three WHERE v3 IS NOT NULL) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, line + i AS line FROM later, (SELECT unnest([0, 1, 2]) AS i)),
+marked AS (SELECT l.doc_id, l.line, l.v, g.line IS NOT NULL AS gone FROM lines l LEFT JOIN gone g USING (doc_id, line)),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY line), false) AS first FROM marked)
+SELECT doc_id, CAST(count(*) AS INT) AS n_lines, CAST(count(*) FILTER (gone) AS INT) AS n_removed,
+    CAST(count(*) FILTER (first) AS INT) AS n_runs,
+    md5(coalesce(string_agg(v, chr(10) ORDER BY line) FILTER (NOT gone), '')) AS kept_md5 FROM runs GROUP BY doc_id"""
+
+
+@query(_RUNS)
 def op3_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that remain once runs of three lines or more that stand earlier are removed."""
-    return line_runs.remove_runs(documents(spark, sf_dir)).drop("_h", "runs")
+    kept = F.md5(F.col("kept_text").cast("binary")).alias("kept_md5")
+    found = line_runs.remove_runs(documents(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_removed", "n_runs", kept)
