@@ -19,10 +19,9 @@ from jobledger.operators import requests as request_ops
 from jobledger.operators import sampling
 from jobledger.plans.session import fresh_dir
 from jobledger.schemas import STDERR_MARKER
-from jobledger.sources import configs, ranges, staging
+from jobledger.sources import configs, staging
 from jobledger.sources import records as record_sources
 from jobledger.streaming import follow
-from jobledger.streaming.sinks import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -137,43 +136,51 @@ def joined(lines: Column) -> Column:
 
 
 @query(f"""SELECT id, name, appId, ui, CASE WHEN id % 2 = 0 THEN 'dead' ELSE state END AS state,
-    CASE WHEN id % 2 = 0 THEN 1000000000000 + id // 100 * 100 + row_number() OVER
-        (PARTITION BY id // 100, id % 2 ORDER BY id) - 1
+    CASE WHEN id % 2 = 0 THEN 1 ELSE 0 END AS arrival,
+    CASE WHEN id % 2 = 0 THEN id // 100 * 100 + row_number() OVER (PARTITION BY id // 100, id % 2 ORDER BY id) - 1
     ELSE id // 100 * 100 + row_number() OVER (PARTITION BY id // 100 ORDER BY id) - 1 END AS listing_pos
     FROM {JOBS}""")
 def job_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two listings stored as JSON replies, the second with the even ids in a later state."""
+    """Two listings stored as JSON replies; the later and shorter one has the even ids, further up."""
     first = jobs(spark, sf_dir)
     second = first.where("id % 2 = 0").withColumn("state", F.lit("dead"))
 
-    def replies(listed: DataFrame, offset: int) -> DataFrame:
+    def replies(listed: DataFrame, snapshot: int) -> DataFrame:
         # A reply holds the jobs of a hundred ids.
         pages = listed.groupBy(F.floor(F.col("id") / 100).alias("page"))
         job = F.struct("id", "name", "appId", "appInfo", "state", "log")
         return pages.agg(F.array_sort(F.collect_list(job)).alias("sessions")).select(
-            (F.lit(offset) + F.col("page") * 100).alias("from"),
+            (F.col("page") * 100).alias("from"),
             F.size("sessions").alias("total"),
+            F.lit(snapshot).alias("snapshot"),
             "sessions",
         )
 
     path = fresh_dir(spark, "listing")
-    replies(first, 0).unionByName(replies(second, 10**12)).write.json(path)
-    return record_sources.job_records(spark, path).select(
-        "id", "name", "appId", F.col("appInfo.sparkUiUrl").alias("ui"), "state", "listing_pos"
+    replies(second, 1).unionByName(replies(first, 0)).write.json(path)
+    return record_sources.job_records(spark, path, arrival="snapshot").select(
+        "id", "name", "appId", F.col("appInfo.sparkUiUrl").alias("ui"), "state", "arrival", "listing_pos"
     )
 
 
-@query("""SELECT CASE WHEN event_id % 4 <> 0 THEN 'http://h' || event_id END AS url,
-    CASE WHEN event_id % 4 <> 0 THEN CAST(8000 + event_id % 100 AS VARCHAR) END AS port,
-    CASE WHEN event_id % 5 <> 0 THEN json_extract_string(props, '$.k') END AS cores,
-    CASE WHEN event_id % 5 <> 0 THEN 2 ELSE 0 END AS n_settings FROM events""")
+CONFIG_STATUS = """CASE WHEN event_id % 11 = 10 THEN 'malformed' WHEN event_id % 4 = 0 THEN 'no_credentials'
+    WHEN event_id % 6 = 5 THEN 'no_port' ELSE 'ok' END"""
+
+
+@query(f"""SELECT CASE WHEN status = 'ok' THEN 'http://h' || event_id END AS url,
+    CASE WHEN status = 'ok' THEN CAST(8000 + event_id % 100 AS VARCHAR) END AS port,
+    CASE status WHEN 'ok' THEN 'http://h' || event_id || ':' || (8000 + event_id % 100)
+        WHEN 'no_port' THEN 'h' || event_id END AS address,
+    CASE WHEN status <> 'malformed' AND event_id % 5 <> 0 THEN json_extract_string(props, '$.k') END AS cores,
+    CASE WHEN status <> 'malformed' AND event_id % 5 <> 0 THEN 2 ELSE 0 END AS n_settings, status
+    FROM (SELECT *, {CONFIG_STATUS} AS status FROM events)""")
 def config_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One configuration per event, some without credentials, some without session settings."""
+    """A configuration per event; some lack credentials, a port or settings, some are cut short."""
     document = F.to_json(
         F.struct(
             F.expr(
-                "CASE WHEN event_id % 4 <> 0 THEN named_struct('url',"
-                " concat('http://h', event_id, ':', 8000 + event_id % 100)) END"
+                "CASE WHEN event_id % 4 <> 0 THEN named_struct('url', CASE WHEN event_id % 6 = 5 THEN"
+                " concat('h', event_id) ELSE concat('http://h', event_id, ':', 8000 + event_id % 100) END) END"
             ).alias("kernel_python_credentials"),
             F.expr(
                 "CASE WHEN event_id % 5 <> 0 THEN named_struct('executorCores',"
@@ -182,14 +189,18 @@ def config_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(True).alias("ignored"),
         )
     )
+    cut = F.when(F.expr("event_id % 11 = 10"), F.expr("left(value, length(value) - 9)")).otherwise(F.col("value"))
     path = fresh_dir(spark, "configs")
-    table(spark, sf_dir, "events").select(document.alias("value")).write.text(path)
+    rows = table(spark, sf_dir, "events").withColumn("value", document)
+    rows.select(cut.alias("value")).write.text(path)
     found = configs.config_scan(spark, path, multi_line=False)
     return found.select(
         "url",
         "port",
+        "address",
         F.col("session_configs")["executorCores"].alias("cores"),
         F.size("session_configs").alias("n_settings"),
+        "status",
     )
 
 
@@ -201,30 +212,16 @@ def staged_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@query("""SELECT hits, n, round(4.0 * hits / n, 9) AS ratio FROM (SELECT count(*) FILTER
-    (x * x + y * y <= 1) AS hits, count(*) AS n FROM (SELECT (i * 7919 % 10007) / 10007.0::DOUBLE * 2 - 1 AS x,
-    (i * 6007 % 10009) / 10009.0::DOUBLE * 2 - 1 AS y
-    FROM generate_series(1, (SELECT count(*) FROM lineitem)) AS s(i)))""")
-def number_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One number per line item, a point for each."""
-    n = table(spark, sf_dir, "lineitem").count()
-    numbers = ranges.number_range(spark, n, partitions=max(2, n // ranges.PER_SLICE))
-    points = numbers.select(
-        F.expr("(id * 7919 % 10007) / 10007.0D * 2 - 1").alias("x"),
-        F.expr("(id * 6007 % 10009) / 10009.0D * 2 - 1").alias("y"),
-    )
-    return sampling.mc_ratio(points).withColumn("ratio", F.round("ratio", 9))
-
-
 # --- Projections, filters, joins, limits over records -----------------------------------------
 
 
-@query(f"""SELECT p.id, j.id IS NOT NULL AS found, j.state FROM
+@query(f"""SELECT p.id, j.id IS NOT NULL AS found, j.state, j.name, j.ui FROM
     (SELECT DISTINCT p_partkey * 10 AS id FROM part) p LEFT JOIN {JOBS} j ON p.id = j.id""")
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1"""
     ids = table(spark, sf_dir, "part").select((F.col("p_partkey") * 10).alias("id"))
-    return record_ops.lookup(jobs(spark, sf_dir), ids).select("id", "found", "state")
+    found = record_ops.lookup(jobs(spark, sf_dir), ids)
+    return found.select("id", "found", "state", "name", F.col("appInfo.sparkUiUrl").alias("ui"))
 
 
 @query(f"SELECT id, state FROM {JOBS}")
@@ -269,17 +266,20 @@ def _named_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 PARTS = "(SELECT p_partkey AS id, CASE WHEN p_size >= 10 THEN p_name || '-' || p_size END AS name FROM part)"
 
+# New jobs with the first known job of their name or else the first new one.
+TAKEN = f"""(SELECT n.id, n.name, coalesce(k.first, nullif(min(n.id) OVER (PARTITION BY n.name), n.id)) AS taken_by
+    FROM {PARTS} n LEFT JOIN (SELECT name, min(id) AS first FROM {PARTS} WHERE id % 2 = 1 GROUP BY name) k
+    ON n.name = k.name WHERE n.id % 2 = 0)"""
+
 
-@query(f"""SELECT n.id, n.name, coalesce(min(k.id), -1) AS taken_by FROM {PARTS} n LEFT JOIN
-    (SELECT * FROM {PARTS} WHERE id % 2 = 1) k ON n.name = k.name WHERE n.id % 2 = 0 GROUP BY n.id, n.name""")
+@query(f"SELECT id, name, CASE WHEN name IS NULL THEN -1 ELSE coalesce(taken_by, -1) END AS taken_by FROM {TAKEN}")
 def name_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1"""
     found = record_ops.name_collisions(*_named_parts(spark, sf_dir))
     return found.withColumn("taken_by", F.coalesce("taken_by", F.lit(-1)))
 
 
-@query(f"""SELECT id, name FROM {PARTS} WHERE id % 2 = 0 AND (name IS NULL OR name NOT IN
-    (SELECT name FROM {PARTS} WHERE id % 2 = 1 AND name IS NOT NULL))""")
+@query(f"SELECT id, name FROM {TAKEN} WHERE name IS NULL OR taken_by IS NULL")
 def accepted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The new jobs that may go ahead."""
     return record_ops.accepted(*_named_parts(spark, sf_dir))
@@ -322,18 +322,38 @@ def compare_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_ops.compare_snapshots(orders.where("id % 10 <> 0"), later.where("id % 10 <> 1"))
 
 
-@query(f"""SELECT id, state, 100::BIGINT AS "from", (SELECT count(*) FROM orders) AS total FROM {JOBS}
-    ORDER BY id LIMIT 50 OFFSET 100""")
+def paged(start: int, size: int | None, key: str = "id", rows: str = JOBS) -> str:
+    """A page in SQL; keys are unique."""
+    end = "" if size is None else f"AND rank < {start + size}"
+    return f"""SELECT {key}, state, rank, {start}::BIGINT AS "from", total FROM (SELECT *,
+        row_number() OVER (ORDER BY {key}) - 1 AS rank, count(*) OVER () AS total FROM {rows})
+        WHERE rank >= {start} {end}"""
+
+
+@query(paged(100, 50))
 def page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1"""
-    return record_ops.page(jobs(spark, sf_dir), 100, 50).select("id", "state", "from", "total")
+    return record_ops.page(jobs(spark, sf_dir), 100, 50).select("id", "state", "rank", "from", "total")
 
 
-@query(f"""SELECT id, state, 1000::BIGINT AS "from", (SELECT count(*) FROM orders) AS total FROM {JOBS}
-    ORDER BY id OFFSET 1000""")
+@query(paged(14_000, 700))
+def page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: a page far from the front."""
+    return record_ops.page(jobs(spark, sf_dir), 14_000, 700).select("id", "state", "rank", "from", "total")
+
+
+@query(paged(1000, None))
 def page_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L1: all rows behind an offset, which no top-k can give."""
-    return record_ops.page(jobs(spark, sf_dir), 1000, 0).select("id", "state", "from", "total")
+    """L1: all rows behind an offset."""
+    return record_ops.page(jobs(spark, sf_dir), 1000, 0).select("id", "state", "rank", "from", "total")
+
+
+@query(paged(500, 250, "job", f"(SELECT 'job ' || id AS job, state FROM {JOBS})"))
+def page_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: keys that are texts."""
+    named = jobs(spark, sf_dir).withColumn("job", F.concat(F.lit("job "), "id"))
+    found = record_ops.page(named, 500, 250, key="job")
+    return found.select("job", "state", "rank", "from", "total")
 
 
 # --- Logs -------------------------------------------------------------------------------------
@@ -451,6 +471,54 @@ def overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlay_ops.overlay(layers)
 
 
+@query("""SELECT o_orderkey AS job, '/user/svc/run/' || o_orderkey || '.py' AS file,
+    CASE WHEN o_orderkey % 3 = 0 THEN '4g' WHEN o_orderkey % 5 <> 0 THEN '1000M' END AS driver_memory,
+    CASE WHEN o_orderkey % 4 = 0 THEN '9' WHEN o_orderkey % 5 <> 0 THEN '2' END AS executor_cores,
+    CASE WHEN o_orderkey % 7 = 0 THEN 'cli' WHEN o_orderkey % 3 = 0 THEN 'tool'
+        WHEN o_orderkey % 5 <> 0 THEN 'notebook' END AS conf_a,
+    CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS conf_b,
+    CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS conf_c, 'true' AS log_conf FROM orders""")
+def config_to_request(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two written fleets of configurations and command rows to request JSON."""
+    orders = table(spark, sf_dir, "orders")
+    conf = lambda *entries: ", ".join(f"'spark.{name}', {value}" for name, value in entries)
+    notebook = F.expr(f"""to_json(named_struct('job', o_orderkey, 'session_configs', CASE WHEN o_orderkey % 5 <> 0
+        THEN named_struct('driverMemory', '1000M', 'executorCores', 2, 'conf',
+            map({conf(("a", "'notebook'"), ("b", "o_orderpriority"))})) END))""")
+    tool = F.expr(f"""to_json(CASE WHEN o_orderkey % 3 = 0 THEN named_struct('job', string(o_orderkey),
+        'driverMemory', '4g', 'conf', map({conf(("a", "'tool'"), ("c", "o_orderstatus"))}))
+        ELSE named_struct('job', string(o_orderkey), 'driverMemory', null, 'conf', null) END)""")
+    folders = fresh_dir(spark, "notebooks"), fresh_dir(spark, "tools")
+    for folder, document in zip(folders, (notebook, tool)):
+        orders.select(document.alias("value")).write.text(folder)
+
+    job = lambda rows, document: rows.withColumn("job", F.get_json_object(document, "$.job").cast("bigint"))
+    low = configs.config_rows(job(spark.read.text(folders[0]), "value"), "value", "job")
+    middle = configs.tool_rows(job(spark.read.text(folders[1]), "value"), "value", "job")
+    commands = orders.select(
+        F.col("o_orderkey").alias("job"),
+        F.expr("concat('hdfs:///jobs/', o_orderkey, '.py')").alias("file"),
+        F.expr("CASE WHEN o_orderkey % 4 = 0 THEN 9 END").alias("executorCores"),
+        F.expr("if(o_orderkey % 7 = 0, array('spark.a=cli'), cast(array() AS array<string>))").alias("items"),
+    )
+    layers = (
+        configs.config_layer(low, "job")
+        .unionByName(configs.tool_layer(middle, "job"))
+        .unionByName(configs.command_layer(commands, "job", ["file", "executorCores"], "items"))
+    )
+    ready = request_ops.submissions(overlay_ops.overlay(layers))
+    requests = request_ops.submission_requests(ready, F.lit("/user/svc/run"))
+    got = lambda path: text.json_get("request", path)
+    return requests.select(
+        F.col("job_id").alias("job"),
+        got("$.file").alias("file"),
+        got("$.driverMemory").alias("driver_memory"),
+        got("$.executorCores").alias("executor_cores"),
+        *[got(f"$.conf['spark.{name}']").alias(f"conf_{name}") for name in "abc"],
+        got("$.conf['spark.logConf']").alias("log_conf"),
+    )
+
+
 @query("""WITH entries AS (
         SELECT o_orderkey AS id, 0 AS layer, 'spark.a' AS key, o_orderstatus AS value FROM orders
         UNION ALL SELECT o_orderkey, 0, 'spark.b', o_orderpriority FROM orders
@@ -499,13 +567,17 @@ def first_address() -> Column:
 
 
 
-@query(f"""SELECT doc_id, split_part(address, '@', 1) AS user_name FROM
-    (SELECT doc_id, regexp_extract(text, '{ADDRESS}') AS address FROM documents) WHERE address <> ''""")
+@query(f"""SELECT doc_id, nth, split_part(address, '@', 1) AS user_name FROM (SELECT doc_id,
+    unnest(regexp_extract_all(text, '{ADDRESS}')) AS address,
+    unnest(range(len(regexp_extract_all(text, '{ADDRESS}')))) AS nth FROM documents)""")
 def principal_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """over the first address of each document."""
-    found = table(spark, sf_dir, "documents").select("doc_id", first_address().alias("address"))
-    return found.where("address IS NOT NULL").select(
-        "doc_id", text.principal_user("address").alias("user_name")
+    """over every address of each document."""
+    docs = table(spark, sf_dir, "documents").where(F.contains("text", F.lit("@")))
+    found = docs.select(
+        "doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(ADDRESS), F.lit(0))).alias("nth", "address")
+    )
+    return found.select(
+        "doc_id", F.col("nth").cast("bigint").alias("nth"), text.principal_user("address").alias("user_name")
     )
 
 
@@ -678,16 +750,13 @@ def mc_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.mc_ratio(points).withColumn("ratio", F.round("ratio", 9))
 
 
-@query()
-def mc_ratio_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1: random points, one per line item. Random, so there is no SQL for it."""
-    return sampling.mc_ratio(sampling.uniform_points(table(spark, sf_dir, "lineitem"), seed=1))
-
-
-@query()
+@query("SELECT 3 AS parts, true AS any_worker, count(*) > 0 AS any_event FROM events")
 def worker_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A2: names the machines it ran on, so there is no SQL for it."""
-    return sampling.worker_inventory(table(spark, sf_dir, "events").select("event_id"))
+    """A2: the lines name machines, so what is compared is their number of parts and that there are any."""
+    events = table(spark, sf_dir, "events").select("event_id")
+    parts = F.size(F.split("info", ","))
+    found = sampling.worker_inventory(events).agg(F.max(parts).alias("parts"), F.count(F.lit(1)).alias("n"))
+    return found.select("parts", (F.col("n") > 0).alias("any_worker"), (F.col("n") > 0).alias("any_event"))
 
 
 @query("SELECT count(*)::BIGINT AS elements, 0 AS incomplete FROM events")
@@ -707,38 +776,68 @@ def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("day", F.col("day").cast("string"))
 
 
-# --- Streams: the same answers as the batch forms ---------------------------------------------
+# --- Streams: the same answers as the batch forms, in several micro-batches ---------------------
 
 
-def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+def stream(spark: SparkSession, polls: DataFrame, label: str, order: str = "poll_seq") -> DataFrame:
+    """The polls as files in the order of polls, which a stream takes one at a time."""
+    path = fresh_dir(spark, label)
+    polls.repartitionByRange(3, order).sortWithinPartitions(order).write.parquet(path)
+    return spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def drained(result: DataFrame, label: str, mode: str = "append") -> DataFrame:
-    spark = result.sparkSession
-    return drain(result, fresh_dir(spark, label), mode, spark.sparkContext.defaultParallelism)
-
-
-@query(f"SELECT DISTINCT batch_id, unnest(lines) AS line FROM {until_terminal_sql(DOC_POLLS)}")
+@query(f"SELECT batch_id, poll_seq, pos, line FROM {first_seen_sql(until_terminal_sql(DOC_POLLS))}")
 def follow_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R1"""
-    return drained(follow.follow_stream(doc_polls(stream(spark, sf_dir, "documents"))), "follow")
+    polls = stream(spark, doc_polls(table(spark, sf_dir, "documents")), "doc-polls")
+    found = follow.follow_stream(polls, fresh_dir(spark, "follow"))
+    return found.withColumn("pos", F.col("pos").cast("bigint"))
+
+
+STDOUT_POLLS = f"""(SELECT source AS batch_id, doc_id AS poll_seq,
+    CASE WHEN doc_id % 101 = 100 THEN 'success' ELSE 'running' END AS state,
+    CASE WHEN mark > 0 THEN log[1:mark - 1] ELSE [] END AS lines FROM (SELECT d.*, l.log,
+    coalesce(list_position(l.log, chr(10) || 'stderr: '), 0) AS mark
+    FROM documents d JOIN {DOC_LOGS} l USING (doc_id)))"""
+
+
+def stdout_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls with the part of their log before the stderr header."""
+    split = doc_logs(spark, sf_dir).select("doc_id", logs.split_log("log")["stdout"].alias("lines"))
+    polls = doc_polls(table(spark, sf_dir, "documents")).drop("lines")
+    return polls.join(split.withColumnRenamed("doc_id", "poll_seq"), "poll_seq").select(
+        "batch_id", "poll_seq", "state", "lines"
+    )
+
+
+@query(f"SELECT batch_id, poll_seq, pos, line FROM {first_seen_sql(until_terminal_sql(STDOUT_POLLS))}")
+def follow_stdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1, W2, W1 in a row: what following every job prints of its stdout."""
+    polls = polls_ops.until_terminal(stdout_polls(spark, sf_dir))
+    return polls_ops.first_seen_lines(polls).withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query(f"SELECT batch_id, poll_seq, pos, line FROM {first_seen_sql(until_terminal_sql(STDOUT_POLLS))}")
+def follow_stdout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stream."""
+    polls = stream(spark, stdout_polls(spark, sf_dir), "stdout-polls")
+    found = follow.follow_stream(polls, fresh_dir(spark, "follow-stdout"))
+    return found.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @query(f"SELECT batch_id, poll_seq, state FROM {until_terminal_sql(EVENT_POLLS)}")
 def follow_until_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2"""
-    polls = event_polls(stream(spark, sf_dir, "events")).select("batch_id", "poll_seq", "state")
-    return drained(follow.follow_until_terminal(polls), "latch")
+    polls = event_polls(table(spark, sf_dir, "events")).select("batch_id", "poll_seq", "state")
+    return follow.follow_until_terminal(stream(spark, polls, "polls"), fresh_dir(spark, "latch"))
 
 
 @query(f"SELECT batch_id, active_us AS waited_us FROM ({POLL_OUTCOME}) WHERE active_us > 60000000")
 def stuck_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R3"""
-    alerts = drained(follow.stuck_jobs(event_polls(stream(spark, sf_dir, "events"))), "stuck", "update")
-    micros = (F.max("waited") * 1_000_000).cast("bigint").alias("waited_us")
-    return alerts.groupBy("batch_id").agg(micros)
+    polls = stream(spark, event_polls(table(spark, sf_dir, "events")), "timed-polls")
+    waited = (F.col("waited") * 1_000_000).cast("bigint").alias("waited_us")
+    return follow.stuck_jobs(polls, fresh_dir(spark, "stuck")).select("batch_id", waited)
 
 
 # --- Contract ---------------------------------------------------------------------------------

@@ -68,28 +68,47 @@ def parse_kv(items: Column | str, strict: bool = False) -> Column:
     return bind(F.transform(_col(items), lambda item: F.split(item, "=", 2)), parsed)
 
 
-def _last_wins(pairs: Column, key: int | str = 0, value: int | str = 1) -> Column:
-    """Map of an array of pairs, without asking the session what to do with equal keys."""
-    keys = F.array_distinct(F.transform(pairs, lambda pair: pair[key]))
+def _last_wins(pairs: Column) -> Column:
+    """Map of an array of [key, value] pairs, without asking the session what to do with equal keys.
 
-    def last(wanted: Column) -> Column:
-        return F.element_at(F.filter(pairs, lambda pair: pair[key] == wanted), -1)[value]
+    Sorted by key and place, the last of each key is the one before another key; one sort and one
+    look at the neighbour take the place of a scan for each key.
+    """
+    places = F.array_sort(
+        F.transform(pairs, lambda pair, at: F.struct(pair[0].alias("key"), at.alias("at"), pair[1].alias("value")))
+    )
 
-    return bind(keys, lambda keys: F.map_from_arrays(keys, F.transform(keys, last)))
+    def lasts(places: Column) -> Column:
+        after = F.concat(F.slice(F.transform(places, lambda p: p["key"]), 2, F.greatest(F.size(places) - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
+        marked = F.arrays_zip(places.alias("place"), after.alias("after"))
+        kept = F.filter(marked, lambda m: m["place"].isNotNull() & (m["after"].isNull() | (m["after"] != m["place"]["key"])))
+        return F.map_from_entries(
+            F.transform(kept, lambda m: F.struct(m["place"]["key"], m["place"]["value"]))
+        )
+
+    return bind(places, lasts)
 
 
 def merge_conf(*layers: Column | str, log_conf: bool = True) -> Column:
     """Merge ``map<string,string>`` columns, later ones winning key by key; null counts as empty.
 
-    ``log_conf`` adds the ``spark.logConf`` entry every submission carries. The merge names its
-    winner, so it does not depend on the session's policy for duplicate map keys.
+    ``log_conf`` adds the ``spark.logConf`` entry every submission carries. Keys of a lower layer
+    that the higher one has are left out before the two are put together, so no key meets itself and
+    the session's policy for duplicate map keys is never asked.
     """
     layers = [_col(layer) for layer in layers]
     if log_conf:
         layers.append(F.create_map(F.lit("spark.logConf"), F.lit("true")))
-    none = F.array().cast("array<struct<key:string,value:string>>")
-    entries = F.concat(*[F.coalesce(F.map_entries(layer), none) for layer in layers])
-    return bind(entries, lambda entries: _last_wins(entries, "key", "value"))
+    empty = F.create_map().cast("map<string,string>")
+    merged = empty
+    for layer in layers:
+        merged = bind(
+            F.struct(merged.alias("low"), F.coalesce(layer, empty).alias("high")),
+            lambda both: F.map_concat(
+                F.map_filter(both["low"], lambda key, _: ~F.map_contains_key(both["high"], key)), both["high"]
+            ),
+        )
+    return merged
 
 
 def request_json(*fields: Column | str) -> Column:

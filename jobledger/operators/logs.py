@@ -12,13 +12,28 @@ from jobledger.operators.records import is_active
 from jobledger.plans.skew import with_key_minimum
 
 
-def until_terminal(
+def terminal_orders(
     polls: DataFrame, job: str = "batch_id", order: str = "poll_seq", state: str = "state"
 ) -> DataFrame:
-    """Polls up to and including the first terminal one of each job; at least one per job."""
+    """(job, _end): the order of the first terminal poll of each job that has one."""
+    over = polls.where(~is_active(state))
+    return over.groupBy(job).agg(F.min(order).alias("_end")).where(F.col("_end").isNotNull())
+
+
+def until_terminal(
+    polls: DataFrame,
+    job: str = "batch_id",
+    order: str = "poll_seq",
+    state: str = "state",
+    hot_keys: int | None = None,
+) -> DataFrame:
+    """Polls up to and including the first terminal one of each job; at least one per job.
+
+    ``hot_keys`` is the number of jobs whose polls may be spread out, see ``plans.skew``.
+    """
     ended = F.when(~is_active(state), F.col(order))
     return (
-        with_key_minimum(polls, job, order, ended, "_end")
+        with_key_minimum(polls, job, order, ended, "_end", hot_keys)
         .where(F.col("_end").isNull() | (F.col(order) <= F.col("_end")))
         .drop("_end")
     )

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from jobledger.plans.session import fresh_dir
 from jobledger.plans.skew import lookup_join
 from jobledger.schemas import ACTIVE_STATES
 
-# Pages that end before this row come from a top-k; later ones from ranked slabs of the key.
-TOP_K_ROWS = 100_000
-# Keys per slab, so at most this many rows are ranked together.
-SLAB = 1_000_000
-
 # Fields that decide whether a record changed; the log does not.
 COMPARED = ("name", "appId", "appInfo", "state")
 
@@ -22,12 +21,13 @@ def is_active(state: Column | str = "state") -> Column:
     return state.isin(*ACTIVE_STATES)
 
 
-def latest_records(records: DataFrame, arrival: str, key: str = "id") -> DataFrame:
-    """One record per key, the last to arrive.
+def latest_records(records: DataFrame, arrival: str | Sequence[str], key: str = "id") -> DataFrame:
+    """One record per key, the last by the columns of ``arrival``, the first of them first.
 
     The rank is cut to 1 before the shuffle too, so a key with many copies sends one per task.
     """
-    newest = Window.partitionBy(key).orderBy(F.col(arrival).desc())
+    columns = [arrival] if isinstance(arrival, str) else list(arrival)
+    newest = Window.partitionBy(key).orderBy(*[F.col(column).desc() for column in columns])
     return (
         records.withColumn("_rank", F.row_number().over(newest))
         .where(F.col("_rank") == 1)
@@ -36,9 +36,15 @@ def latest_records(records: DataFrame, arrival: str, key: str = "id") -> DataFra
 
 
 def lookup(records: DataFrame, ids: DataFrame, key: str = "id", strict: bool = False) -> DataFrame:
-    """The record of every distinct id asked for, with ``found``; ``strict`` raises on an unknown id."""
-    hits = records.withColumn("found", F.lit(True))
-    answers = ids.select(key).distinct().join(hits, key, "left")
+    """The record of every distinct id asked for, with ``found``; ``strict`` raises on an unknown id.
+
+    The records are first cut down to the ids, so only hits are shuffled. Where Spark knows the ids
+    to be few, as it does for a table, that is a filter at the scan of the records; ids of unknown
+    size cost a shuffle of the records, so let them come from a table.
+    """
+    asked = ids.select(key).distinct()
+    hits = records.join(asked, key, "left_semi").withColumn("found", F.lit(True))
+    answers = asked.join(hits, key, "left")
     found = F.coalesce("found", F.lit(False))
     if strict:
         unknown = F.raise_error(F.concat(F.lit("no such job: "), F.col(key).cast("string")))
@@ -64,90 +70,98 @@ def drop_removed(records: DataFrame, removed: DataFrame, key: str = "id") -> Dat
 def page(
     records: DataFrame, start: int | None = None, size: int | None = None, key: str = "id"
 ) -> DataFrame:
-    """The rows ``start`` .. ``start+size`` in key order, with ``from`` and ``total`` columns.
+    """The rows ``start`` .. ``start+size`` in key order, with columns ``rank``, ``from``, ``total``.
 
-    0 and ``None`` both mean the default: from the first row, all rows. A page near the front is a
-    top-k. For any other page the keys (unique integers) are counted per slab of ``SLAB`` values,
-    and only the slabs that overlap the page are shuffled and ranked.
+    ``rank`` counts from 0 in ascending order of the key, a missing key first; sort by it to see the
+    page in order. Rows of one key are in the order of a hash of their plain columns. 0 and ``None``
+    both mean the default: from the first row, all rows. The key is of any type that sorts.
+
+    Only keys and hashes are counted, dealt into ranges, and summed up range by range; the table of
+    them is written to the shared folder once. The records are then joined to the keys of the page.
     """
     start, size = start or 0, size or None
-    rows = records
-    if size is not None and start + size <= TOP_K_ROWS:
-        rows = records.orderBy(key).offset(start).limit(size)
-    elif start or size is not None:
-        rows = _ranked_page(records, start, size, key)
+    plain = [f.name for f in records.schema if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    rows = records.withColumn("_tie", F.xxhash64(*plain))
+    spots = rows.groupBy(F.col(key).alias("_key"), "_tie").agg(F.count(F.lit(1)).alias("_n"))
+    spots = spots.repartitionByRange("_key", "_tie").withColumn("_slab", F.spark_partition_id())
+    path = fresh_dir(records.sparkSession, "page")
+    spots.write.parquet(path)
+    spots = records.sparkSession.read.schema(spots.schema).parquet(path)
+
+    slabs = spots.groupBy("_slab").agg(F.sum("_n").alias("_in"))
+    earlier = Window.orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)  # a row a slab
+    slabs = slabs.withColumn("_before", F.coalesce(F.sum("_in").over(earlier), F.lit(0)))
+
+    def on_page(first: str, count: str) -> Column:
+        inside = F.col(first) + F.col(count) > start
+        return inside if size is None else inside & (F.col(first) < start + size)
+
+    slabs = slabs.where(on_page("_before", "_in")).select("_slab", "_before")
+    within = Window.partitionBy("_slab").orderBy("_key", "_tie")
+    first = F.col("_before") + F.sum("_n").over(within) - F.col("_n")
+    hits = spots.join(slabs, "_slab").withColumn("_first", first).where(on_page("_first", "_n"))
+    hits = hits.select("_key", F.col("_tie").alias("_hit"), "_first", "_n")
+    found = rows.join(hits, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_tie") == F.col("_hit")))
+    # Rows that share a key and a hash are numbered on; all others are alone.
+    again = F.row_number().over(Window.partitionBy("_first").orderBy("_tie")) - 1
+    rank = F.when(F.col("_n") > 1, again).otherwise(0) + F.col("_first")
+    inside = F.col("rank") >= start
+    if size is not None:
+        inside &= F.col("rank") < start + size
     total = records.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return rows.withColumn("from", F.lit(start).cast("bigint")).withColumn("total", total)
+    return found.withColumn("rank", rank).where(inside).select(
+        *records.columns, "rank", F.lit(start).cast("bigint").alias("from"), total.alias("total")
+    )
 
 
-def _ranked_page(
-    records: DataFrame, start: int, size: int | None, key: str, slab: int = SLAB
+def name_collisions(
+    new: DataFrame, known: DataFrame, order: str = "id", hot_keys: int | None = None
 ) -> DataFrame:
-    # A slab is named by its first key; integer arithmetic keeps large keys exact.
-    slab_of = F.col(key) - F.pmod(F.col(key), F.lit(slab))
-    counts = records.groupBy(slab_of.alias("_slab")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per slab, so this single-task running sum sees keys/SLAB rows.
-    starts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    overlap = F.col("_before") + F.col("_n") > start
-    if size is not None:
-        overlap &= F.col("_before") < start + size
-    starts = starts.where(overlap).select("_slab", "_before")
-    low = starts.agg(F.min("_slab").alias("low")).scalar()
-    candidates = records.where(F.col(key) >= low)
-    if size is not None:
-        high = starts.agg((F.max("_slab") + F.lit(slab)).alias("high")).scalar()
-        candidates = candidates.where(F.col(key) < high)
-    within = Window.partitionBy("_slab").orderBy(key)
-    rank = F.col("_before") + F.row_number().over(within) - 1
-    inside = F.col("_rank") >= start
-    if size is not None:
-        inside &= F.col("_rank") < start + size
-    return (
-        candidates.withColumn("_slab", slab_of)
-        .join(starts, "_slab")
-        .withColumn("_rank", rank)
-        .where(inside)
-        .drop("_slab", "_before", "_rank")
-    )
+    """New jobs with ``taken_by``, the id of the job that has their name already, or null.
 
+    That is the first known job of the name or, where none is known, the first of the new ones, to
+    which its own name is free. Null names never collide; empty names do. Names are reduced to one id
+    each before they shuffle, and a name that many new jobs share is spread over slots. All known
+    jobs count, not just one page of them. Ids of new jobs are unique.
+    """
 
-def name_collisions(new: DataFrame, known: DataFrame, order: str = "id") -> DataFrame:
-    """New jobs with ``taken_by``, the id of the first known job of the same name, or null.
+    def first_of(jobs: DataFrame, place: int) -> DataFrame:
+        named = jobs.where(F.col("name").isNotNull())
+        by = F.struct(F.lit(place).alias("place"), F.col(order).alias("order"), F.col("id").alias("id"))
+        return named.groupBy("name").agg(F.min(by).alias("first"))
 
-    Null names never collide; empty names do. Known names are reduced to one id each before they
-    shuffle, and a name that many new jobs share is spread over slots. All known jobs count, not
-    just one page of them.
-    """
-    first = F.min("id") if order == "id" else F.min_by("id", order)
-    owners = known.where(F.col("name").isNotNull()).groupBy("name").agg(first.alias("taken_by"))
-    return lookup_join(new, owners, "name", ["id"])
+    owners = first_of(known, 0).unionByName(first_of(new, 1)).groupBy("name").agg(F.min("first").alias("first"))
+    owners = owners.select("name", F.col("first.id").alias("taken_by"), (F.col("first.place") == 1).alias("_new"))
+    found = lookup_join(new, owners, "name", ["id"], hot_keys=hot_keys)
+    own = F.col("_new") & (F.col("taken_by") == F.col("id"))
+    taken = F.when(~F.coalesce(own, F.lit(False)), F.col("taken_by"))
+    return found.withColumn("taken_by", taken).drop("_new")
 
 
-def accepted(new: DataFrame, known: DataFrame) -> DataFrame:
-    """New jobs whose name is free."""
-    taken = known.where(F.col("name").isNotNull()).select("name").distinct()
-    return lookup_join(new, taken, "name", ["id"], "left_anti")
+def accepted(
+    new: DataFrame, known: DataFrame, order: str = "id", hot_keys: int | None = None
+) -> DataFrame:
+    """New jobs whose name is free: not known, and of equal new names the first."""
+    found = name_collisions(new, known, order, hot_keys)
+    return found.where(F.col("taken_by").isNull()).drop("taken_by")
 
 
 def known_ids(
     rows: DataFrame, listing: DataFrame, key: str, listing_key: str = "id", flag: str | None = None,
-    spread_by: str | None = None,
+    spread_by: str | None = None, hot_keys: int | None = None,
 ) -> DataFrame:
     """Rows whose key is in the listing, or with ``flag`` all rows and a column that says so.
 
-    ``spread_by`` names a column that tells the rows of one key apart; give it where a key may
-    have many rows.
+    A key with many rows is spread over slots by a hash of the whole row, or of ``spread_by``, a
+    column that tells the rows of one key apart, where that is given.
     """
     known = listing.select(F.col(listing_key).alias(key)).distinct()
     if flag is not None:
         known = known.withColumn(flag, F.lit(True))
     how = "left_semi" if flag is None else "left"
-    joined = (
-        rows.join(known, key, how)
-        if spread_by is None
-        else lookup_join(rows, known, key, [spread_by], how)
-    )
+    plain = [f.name for f in rows.schema if not isinstance(f.dataType, T.MapType)]
+    spread = [spread_by] if spread_by else plain
+    joined = lookup_join(rows, known, key, spread, how, hot_keys)
     return joined if flag is None else joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 

@@ -7,7 +7,37 @@ from pyspark.sql import functions as F
 
 from jobledger.functions.artifacts import python_conf, resolve_artifact
 from jobledger.functions.text import merge_conf, request_json
-from jobledger.schemas import REQUEST_FIELDS
+from jobledger.schemas import CONF_PREFIX, REQUEST_FIELDS
+
+_LISTS = ("archives", "args", "pyFiles")
+_NUMBERS = ("driverCores", "executorCores", "numExecutors")
+
+
+def submissions(settings: DataFrame, jobs: DataFrame | None = None, job: str = "job_id") -> DataFrame:
+    """Rows (job_id, key, value) of ``overlay`` as the typed columns that ``submission_requests`` takes.
+
+    Entries of ``conf`` become a map, lists are read from their JSON text, and a number that is none
+    is null. Keys that no request has are left out, but for ``conda_env``. ``jobs`` adds its columns
+    by ``job``, one row each, and keeps jobs without settings.
+    """
+    name = F.substring("key", len(CONF_PREFIX) + 1, 2**31 - 1)
+    entry = F.when(F.col("key").startswith(CONF_PREFIX), F.struct(name.alias("key"), F.col("value").alias("value")))
+    wanted = [*REQUEST_FIELDS, "conda_env"]
+
+    def typed(field: str) -> Column:
+        value = F.max(F.when(F.col("key") == field, F.col("value")))
+        if field in _LISTS:
+            return F.from_json(value, "array<string>")
+        return value.try_cast("int") if field in _NUMBERS else value
+
+    columns = [
+        (F.map_from_entries(F.collect_list(entry)) if field == "conf" else typed(field)).alias(field)
+        for field in wanted
+    ]
+    found = settings.groupBy("job_id").agg(*columns)
+    if jobs is None:
+        return found
+    return jobs.join(found.withColumnRenamed("job_id", job), job, "left")
 
 
 def submission_requests(jobs: DataFrame, run_dir: Column) -> DataFrame:

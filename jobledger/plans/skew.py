@@ -1,10 +1,11 @@
 """Joins and per-key facts in which no task ever holds all rows of a hot key.
 
 One job may own a third of all polls, one name a third of all submissions. Keys are counted first,
-with a partial count in every task. A key with more than ``HOT_ROWS`` rows is hot: its answer comes
-from a broadcast table, and its rows are spread over slots, where they match nothing else. So are
-rows whose key is null. All other rows join by key as usual. There are at most rows / ``HOT_ROWS``
-hot keys, which bounds the broadcast: a million short rows for 10^12 rows of input.
+with a partial count in every task. A key is hot if it has more rows than a shuffle partition has on
+average, that is more than one in ``hot_keys`` of all rows, which is the number of shuffle partitions
+unless the caller says otherwise. Fewer than ``hot_keys`` keys can be hot, whatever the data: that
+bounds the broadcast of their answers. Rows of hot keys and of null keys are spread over slots, where
+they match nothing else. All other rows join by key as usual.
 
 Results are exact. The slot is a pure function of the row, so a task that is run again after a lost
 executor sends the same rows to the same places.
@@ -17,7 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
 SLOTS = 1 << 16
 
 
@@ -37,7 +37,7 @@ def lookup_join(
     on: str,
     spread_by: Sequence[str],
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
+    hot_keys: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to a ``right`` that has one row per key, with ``left`` free to be hot in a key.
 
@@ -47,7 +47,7 @@ def lookup_join(
     added = [name for name in right.columns if name != on] if how == "left" else []
     answers = right.select(on, *added).withColumn("_match", F.lit(True))
     counts = left.groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > hot_rows).select(on)
+    hot = _hot(counts, hot_keys).select(on)
     hot_answers = answers.join(F.broadcast(hot), on, "left_semi")
     joined = _hot_and_cold(
         left, hot.join(hot_answers, on, "left"), answers, on, spread_by, [*added, "_match"]
@@ -65,16 +65,24 @@ def with_key_minimum(
     spread_by: str,
     value: Column,
     name: str,
-    hot_rows: int = HOT_ROWS,
+    hot_keys: int | None = None,
 ) -> DataFrame:
     """Add to every row the minimum of ``value`` over all rows of its key (null if none)."""
     facts = rows.groupBy(key).agg(F.min(value).alias(name), F.count(F.lit(1)).alias("_n"))
-    hot = facts.where(F.col("_n") > hot_rows)
-    cold = facts.where((F.col("_n") <= hot_rows) & F.col(name).isNotNull())
+    hot = _hot(facts, hot_keys)
+    cold = facts.where(F.col(name).isNotNull())
     joined = _hot_and_cold(rows, hot, cold, key, [spread_by], [name])
     return joined.select(*rows.columns, name)
 
 
+def _hot(counts: DataFrame, hot_keys: int | None) -> DataFrame:
+    """The keys with more than one in ``hot_keys`` of the rows in ``_n``."""
+    if hot_keys is None:
+        hot_keys = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = counts.agg(F.sum("_n").alias("rows")).scalar()
+    return counts.where(F.col("_n") * F.lit(hot_keys) > rows)
+
+
 def _hot_and_cold(
     rows: DataFrame,
     hot: DataFrame,

@@ -7,10 +7,8 @@ from pyspark.sql import types as T
 # The states of a job that is not over yet. Every other state is terminal.
 ACTIVE_STATES = ("running", "starting")
 
-# The section headers inside a job's log array.
-STDOUT_MARKER = "stdout: "
+# Fixed value: the header inside a job's log array where stderr begins.
 STDERR_MARKER = "\nstderr: "
-DIAGNOSTICS_MARKER = "\nYARN Diagnostics: "
 
 JOB_RECORD = T.StructType(
     [
@@ -40,7 +38,7 @@ LISTING = T.StructType(
     ]
 )
 
-# The fields of a submission, in the order of the request.
+# The fields of a submission, in the order of the request.
 REQUEST_FIELDS = (
     "file",
     "name",
@@ -68,3 +66,5 @@ NOTEBOOK_CONFIG = T.StructType(
 
 # Configuration layers, lowest precedence first.
 NOTEBOOK_LAYER, TOOL_LAYER, COMMAND_LAYER = 0, 1, 2
+# What stands before the name of an entry of ``conf`` where it is a key of its own.
+CONF_PREFIX = "conf."

@@ -4,27 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobledger.operators.records import latest_records
 from jobledger.schemas import JOB_RECORD, LISTING
 
 
-def job_listing(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """The records of stored listing replies with ``listing_pos``, their place in the listing.
+def job_listing(
+    spark: SparkSession, path: str, multi_line: bool = False, arrival: str | None = None
+) -> DataFrame:
+    """The records of stored listing replies, with when they came and ``listing_pos``.
 
-    Keys outside the schema are ignored. Unless ``multi_line``, files hold one reply per line and
-    split.
+    ``arrival`` names a number in each reply, such as a snapshot id, that says when it was taken;
+    without it the time of the file counts. ``listing_pos`` is a record's place in its listing. Keys
+    outside the schema are ignored. Unless ``multi_line``, files hold one reply per line and split.
     """
+    schema = LISTING if arrival is None else T.StructType([*LISTING.fields, T.StructField(arrival, T.LongType())])
     replies = (
-        spark.read.schema(LISTING).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+        spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
     )
-    placed = replies.select("from", F.posexplode("sessions").alias("_pos", "_job"))
-    return placed.select("_job.*", (F.col("from") + F.col("_pos")).alias("listing_pos"))
+    came = F.col("_metadata.file_modification_time") if arrival is None else F.col(arrival)
+    placed = replies.select("from", came.alias("arrival"), F.posexplode("sessions").alias("_pos", "_job"))
+    return placed.select("_job.*", "arrival", (F.col("from") + F.col("_pos")).alias("listing_pos"))
 
 
-def job_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """One record per id, the last in listing order."""
-    return latest_records(job_listing(spark, path, multi_line), "listing_pos")
+def job_records(
+    spark: SparkSession, path: str, multi_line: bool = False, arrival: str | None = None
+) -> DataFrame:
+    """One record per id: of the latest arrival, and within it the last in listing order."""
+    return latest_records(job_listing(spark, path, multi_line, arrival), ["arrival", "listing_pos"])
 
 
 def record_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

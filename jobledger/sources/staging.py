@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame
 
 
 def run_directory(user: str, root: str = "/user", folder: str = "staged-files") -> str:
-    """``{root}/{user}/{folder}/{six hex digits}_{seconds}``, new for every call."""
+    """``{root}/{user}/{folder}/{six hex digits}_{seconds}``, new for every call.
+
+    The form of the path is a fixed value.
+    """
     return f"{root.rstrip('/')}/{user}/{folder}/{uuid.uuid4().hex[:6]}_{round(time.time())}"
 
 

@@ -1,183 +1,174 @@
 """Follow jobs in a stream of polls (batch_id, poll_seq, state, lines, ...).
 
-Each operator maps a streaming DataFrame to a streaming DataFrame; the caller picks the sink, the
-trigger and the checkpoint folder. The batch twins are in ``jobledger.operators.logs``.
+Every micro-batch is a batch of polls, so the batch operators of ``jobledger.operators.logs`` do the
+work and nothing leaves the JVM. What one micro-batch has to know of the ones before is kept in two
+narrow tables in the shared folder: where each job ended, and which lines were printed. Each
+micro-batch overwrites its own directory of each table, so one that is repeated after a failure
+leaves no second copy.
+
+A terminal poll may arrive after polls that it should have cut off. Those have been passed on by
+then; reading the table takes them back, so the table is what the batch form would give, however the
+polls were cut into files.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
+from collections.abc import Callable
 
-import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from jobledger.operators import logs
 from jobledger.operators.logs import seconds_between
 from jobledger.operators.records import is_active
+from jobledger.plans.skew import lookup_join
+from jobledger.streaming.sinks import drain_batches, epochs
 
-# Parts of a job whose polls are latched in parallel, and groups that share out all parts. Both are
-# part of the state: keep them when a stream restarts from its checkpoint.
-PARTS = 16
-GROUPS = 256
+Writer = Callable[[DataFrame, int], None]
 
-_NEVER = 2**63 - 1
 
-# The payload crosses the Python worker as one text, since pandas would turn a long next to a null
-# into a float. All six digits of a second have to survive that.
-_JSON = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "mode": "FAILFAST",
-}
+def _ends_schema(polls: T.StructType, job: str, order: str) -> T.StructType:
+    return T.StructType([polls[job], T.StructField("_end", polls[order].dataType)])
 
 
-def _latch(job_type: str) -> StatefulProcessor:
-    """Processor that keeps, per part of a job, the order of its first terminal poll.
+def _ends(spark: SparkSession, folder: str, schema: T.StructType, job: str, before: int | None = None) -> DataFrame:
+    found = epochs(spark, f"{folder}/ends", schema, before)
+    return found.groupBy(job).agg(F.min("_end").alias("_end"))
 
-    The class is local so that it travels to the workers by value.
+
+def _until(polls: DataFrame, ends: DataFrame, job: str, order: str, hot_keys: int | None) -> DataFrame:
+    ends = ends.where(F.col(job).isNotNull())
+    joined = lookup_join(polls, ends, job, [order], "left", hot_keys)
+    return joined.where(F.col("_end").isNull() | (F.col(order) <= F.col("_end"))).drop("_end")
+
+
+def latch(
+    folder: str,
+    job: str = "batch_id",
+    order: str = "poll_seq",
+    state: str = "state",
+    then: Callable[[DataFrame, int], DataFrame] = lambda polls, epoch: polls,
+    hot_keys: int | None = None,
+) -> Writer:
+    """A function for ``foreachBatch`` that passes on polls up to the first terminal one of their job.
+
+    ``then`` makes of the polls that are passed on what is written to the table in ``folder``. Polls
+    without a job never end. A job id may be of any type; a job with a third of all polls is spread
+    out as in the batch form.
     """
 
-    class Latch(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.ended = handle.getMapState("ended", f"job {job_type}, part int", "at bigint")
-
-        def handleInputRows(
-            self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-        ) -> Iterator[pd.DataFrame]:
-            held = list(rows)
-            part = ["job", "part"]
-            ends = pd.concat([batch[[*part, "end"]] for batch in held]).groupby(part)["end"].min()
-            limits = []
-            for state_key, end in zip(ends.index.tolist(), ends.tolist()):
-                before = self.ended.getValue(state_key)
-                if before is not None and before[0] <= end:
-                    end = before[0]
-                elif end != _NEVER:
-                    self.ended.updateValue(state_key, (end,))
-                limits.append(end)
-            limit = pd.Series(limits, index=ends.index, name="limit")
-            for batch in held:
-                real = batch[batch["poll"].notna()].join(limit, on=part)
-                yield real.loc[real["at"] <= real["limit"], ["job", "poll"]]
-
-        def close(self) -> None:
-            pass
-
-    return Latch()
+    def write(polls: DataFrame, epoch: int) -> None:
+        spark = polls.sparkSession
+        schema = _ends_schema(polls.schema, job, order)
+        new = logs.terminal_orders(polls, job, order, state)
+        new.write.mode("overwrite").parquet(f"{folder}/ends/epoch={epoch}")
+        kept = _until(polls, _ends(spark, folder, schema, job, epoch + 1), job, order, hot_keys)
+        then(kept, epoch).write.mode("overwrite").parquet(f"{folder}/table/epoch={epoch}")
+
+    return write
 
 
 def follow_until_terminal(
     polls: DataFrame,
+    folder: str,
     job: str = "batch_id",
     order: str = "poll_seq",
     state: str = "state",
-    parts: int = PARTS,
-    groups: int = GROUPS,
+    hot_keys: int | None = None,
 ) -> DataFrame:
-    """Drop the polls behind the first terminal one of their job, across micro-batches.
+    """The polls up to and including the first terminal one of their job, of all input there is now.
 
-    The polls of a job are cut into ``parts`` by a hash of their order, each with a latch of its
-    own, so a hot job keeps many tasks busy; a terminal poll also sends every other part a notice
-    without payload. Parts of all jobs are shared out over ``groups``, which keeps the Python work
-    in bulk: give a few for each core. A group holds its share of one micro-batch, which the
-    source's rate limit bounds (``maxFilesPerTrigger`` and the like).
-
-    Job ids are not null. Each job's polls should arrive in order: a poll that was emitted is not
-    taken back when an earlier end turns up later. Needs the RocksDB state store.
+    A later call with the same folder goes on where this one stopped. For a stream that does not
+    end, give ``latch`` to ``foreachBatch``. The table equals ``logs.until_terminal`` of all polls.
     """
-    names = polls.columns
-    payload = [name for name in names if name != job]
-    own = F.pmod(F.xxhash64(order), F.lit(parts)).cast("int")
-    everyone = F.sequence(F.lit(0), F.lit(parts - 1))
-    end = F.when(~is_active(state), F.col(order).cast("bigint")).otherwise(F.lit(_NEVER))
-    targets = F.when(F.col("_end") == _NEVER, F.array("_own")).otherwise(everyone)
-    poll = F.when(F.col("_part") == F.col("_own"), F.to_json(F.struct(*payload), _JSON))
-    sent = (
-        polls.withColumn("_own", own)
-        .withColumn("_end", end)
-        .withColumn("_part", F.explode(targets))
-        .select(
-            F.pmod(F.xxhash64(job, "_part"), F.lit(groups)).cast("int").alias("share"),
-            F.col(job).alias("job"),
-            F.col("_part").alias("part"),
-            F.col(order).cast("bigint").alias("at"),
-            F.col("_end").alias("end"),
-            poll.alias("poll"),
-        )
-    )
-    kept = sent.groupBy("share").transformWithStateInPandas(
-        _latch(sent.schema["job"].dataType.simpleString()),
-        T.StructType([sent.schema["job"], sent.schema["poll"]]),
-        "append",
-        "none",
-    )
-    row = F.from_json("poll", polls.select(*payload).schema, _JSON).alias("row")
-    return kept.select(F.col("job").alias(job), row).select(job, "row.*").select(*names)
+    drain_batches(polls, folder, latch(folder, job, order, state, hot_keys=hot_keys))
+    spark = polls.sparkSession
+    kept = epochs(spark, f"{folder}/table", polls.schema)
+    ends = _ends(spark, folder, _ends_schema(polls.schema, job, order), job)
+    return _until(kept, ends, job, order, hot_keys)
 
 
 def new_lines(
-    polls: DataFrame,
-    job: str = "batch_id",
-    lines: str = "lines",
-    event_time: str | None = None,
-    horizon: str | None = None,
-) -> DataFrame:
-    """(job, line): every line of a job once.
+    folder: str, schema: T.StructType, job: str = "batch_id", order: str = "poll_seq", lines: str = "lines"
+) -> Callable[[DataFrame, int], DataFrame]:
+    """For ``latch``: the lines (job, order, pos, line) that no micro-batch before has printed.
 
-    A stream has no partial step before the shuffle of a deduplication, so equal lines are first
-    reduced to one per Arrow batch; a line that fills many polls cannot flood its task.
-
-    State is keyed by (job, line) and kept for ever, as in the batch form. With ``event_time`` and
-    ``horizon`` it is dropped after the horizon, and a line may then come out again.
+    A line whose micro-batch holds an earlier place than the one it was printed for comes out again.
     """
-    columns = [job] if horizon is None else [job, event_time]
-    # As in the batch form, the outer explode builds a computed array once.
-    exploded = polls.select(*columns, F.explode_outer(lines).alias("line")).where("line IS NOT NULL")
-    earliest = [] if horizon is None else [(event_time, "min")]
 
-    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            groups = pa.Table.from_batches([batch]).group_by([job, "line"]).aggregate(earliest)
-            ordered = groups.select([job, *[f"{name}_min" for name, _ in earliest], "line"])
-            yield from ordered.rename_columns(batch.schema.names).to_batches()
+    def fresh(polls: DataFrame, epoch: int) -> DataFrame:
+        seen = epochs(polls.sparkSession, f"{folder}/table", schema, epoch)
+        first = logs.first_seen_lines(polls, job, order, lines)
+        same = first[job].eqNullSafe(seen[job]) & first["line"].eqNullSafe(seen["line"])
+        before = F.struct(seen[order], seen["pos"]) <= F.struct(first[order], first["pos"])
+        return first.join(seen, same & before, "left_anti")
 
-    exploded = exploded.mapInArrow(combine, exploded.schema)
-    if horizon is None:
-        return exploded.dropDuplicates([job, "line"])
-    return exploded.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([job, "line"])
+    return fresh
 
 
 def follow_stream(
     polls: DataFrame,
+    folder: str,
     job: str = "batch_id",
     order: str = "poll_seq",
     state: str = "state",
     lines: str = "lines",
+    hot_keys: int | None = None,
 ) -> DataFrame:
-    """(job, line): every new line of a job once, until the job is over."""
-    return new_lines(follow_until_terminal(polls, job, order, state), job, lines)
+    """(job, order, pos, line): every new line of a job once, until the job is over.
+
+    Sort by (job, order, pos) to read the logs. The table equals ``logs.first_seen_lines`` over
+    ``logs.until_terminal`` of all polls.
+    """
+    schema = T.StructType(
+        [
+            polls.schema[job],
+            polls.schema[order],
+            T.StructField("pos", T.IntegerType()),
+            T.StructField("line", T.StringType()),
+        ]
+    )
+    then = new_lines(folder, schema, job, order, lines)
+    drain_batches(polls, folder, latch(folder, job, order, state, then, hot_keys))
+    spark = polls.sparkSession
+    printed = epochs(spark, f"{folder}/table", schema)
+    ends = _ends(spark, folder, _ends_schema(polls.schema, job, order), job)
+    kept = _until(printed, ends, job, order, hot_keys)
+    first = Window.partitionBy(job, "line").orderBy(order, "pos")
+    ranked = kept.withColumn("_rank", F.row_number().over(first))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
 def stuck_jobs(
     polls: DataFrame,
+    folder: str,
     timeout: float = 60,
     job: str = "batch_id",
     order: str = "poll_seq",
     state: str = "state",
     at: str = "ts",
+    as_of: Column | None = None,
+    hot_keys: int | None = None,
 ) -> DataFrame:
-    """(job, waited) of jobs seen active more than ``timeout`` seconds after their first poll.
+    """(job, waited) of jobs that were active for more than ``timeout`` seconds after their first poll.
 
-    For update mode: a job comes out again whenever it is seen active later still. ``at`` is an
-    event-time column. The times are combined per task before the shuffle.
+    A job counts as active up to its last active poll or, with ``as_of``, a time such as
+    ``current_timestamp()``, up to then if no terminal poll was seen: so a job whose polls stop is
+    reported too, whenever the table is read. Micro-batches keep a row for each job they saw.
     """
     narrow = polls.select(job, order, state, at)
-    facts = follow_until_terminal(narrow, job, order, state).groupBy(job).agg(
-        F.min(at).alias("_first"), F.max(F.when(is_active(state), F.col(at))).alias("_active")
+    drain_batches(narrow, folder, latch(folder, job, order, state, hot_keys=hot_keys))
+    spark = polls.sparkSession
+    ends = _ends(spark, folder, _ends_schema(polls.schema, job, order), job)
+    kept = _until(epochs(spark, f"{folder}/table", narrow.schema), ends, job, order, hot_keys)
+    facts = kept.groupBy(job).agg(
+        F.min(at).alias("_first"),
+        F.max(F.when(is_active(state), F.col(at))).alias("_active"),
+        F.max(~is_active(state)).alias("_over"),
     )
-    waited = seconds_between(F.col("_first"), F.col("_active"))
+    last = F.col("_active")
+    if as_of is not None:
+        last = F.when(F.col("_over"), last).otherwise(F.greatest(last, as_of))
+    waited = seconds_between(F.col("_first"), last)
     return facts.select(job, waited.alias("waited")).where(F.col("waited") > F.lit(timeout))

@@ -1,58 +1,49 @@
-"""Run a stream over the data that is there now, into a table in a shared folder."""
+"""Run a stream over the data that is there now, into tables in a shared folder."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Keyed state beyond the memory of the executors needs this store.
-_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
-def drain(
-    stream: DataFrame, folder: str, mode: str = "append", partitions: int | None = None
-) -> DataFrame:
-    """Process all available input and return the table written below ``folder``.
+def drain_batches(stream: DataFrame, folder: str, write: Callable[[DataFrame, int], None]) -> None:
+    """Give all available input to ``write``, micro-batch by micro-batch.
 
-    ``append`` uses the file sink, which commits each micro-batch once. ``update`` overwrites one
-    directory per micro-batch, so a repeated micro-batch leaves no second copy; the table then has
-    a column ``epoch``. Running again with the same folder goes on where the last run stopped.
-
-    ``partitions`` is the number of state partitions, by default the session's shuffle partitions.
-    Each has a store and a worker of its own, so about one per core does. The first run fixes it.
+    The checkpoint is in ``folder``; running again with it goes on where the last run stopped. A
+    micro-batch is read more than once by its writer, so it is cached while that runs.
     """
-    table = f"{folder}/table"
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint")
-    if mode == "append":
-        writer = writer.format("parquet").option("path", table)
-    else:
-
-        def write(rows: DataFrame, epoch: int) -> None:
-            rows.write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
-
-        writer = writer.foreachBatch(write)
-    # A query takes over the settings at its start, so the session gets its own back at once.
-    spark = stream.sparkSession
-    wanted = {_STORE: _ROCKSDB}
-    if partitions is not None:
-        wanted["spark.sql.shuffle.partitions"] = str(partitions)
-    before = {name: spark.conf.get(name) for name in wanted}
-    try:
-        for name, value in wanted.items():
-            spark.conf.set(name, value)
-        query = writer.trigger(availableNow=True).start()
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+
+    def run(rows: DataFrame, epoch: int) -> None:
+        rows = rows.persist()
+        try:
+            write(rows, epoch)
+        finally:
+            rows.unpersist()
+
+    query = (
+        stream.writeStream.foreachBatch(run)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
     try:
         query.awaitTermination()
     finally:
         query.stop()
-    schema = stream.schema if mode == "append" else stream.schema.add("epoch", T.LongType())
+
+
+def epochs(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """The rows that micro-batches have written below ``path``, those before ``before`` if given."""
     try:
-        return spark.read.schema(schema).parquet(table)
-    except AnalysisException:
-        # There was no input yet, and so no table.
-        return spark.createDataFrame([], schema)
+        rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # no micro-batch yet
+    if before is not None:
+        rows = rows.where(F.col("epoch") < before)
+    return rows.drop("epoch")

@@ -48,24 +48,24 @@ def test_slots_split_a_hot_key(hot):
     assert largest_share(hot.withColumn("slot", skew.slot("seq")), "job", "slot") < 300
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10**6])
+@pytest.mark.parametrize("hot_keys", [100, 2, None])
 @pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("known", ["even", "odd"])
-def test_lookup_join_equals_join(hot, spark, how, known, hot_rows, no_broadcast):
+def test_lookup_join_equals_join(hot, spark, how, known, hot_keys, no_broadcast):
     first = ["even", "odd"].index(known)
     names = spark.range(first, 9000, 2).selectExpr("id AS job", "concat('n', id) AS name")
     left = hot.union(spark.sql("SELECT NULL, -1L")).select("seq", "job")
-    found = lookup_join(left, names, "job", ["seq"], how, hot_rows)
+    found = lookup_join(left, names, "job", ["seq"], how, hot_keys)
     expected = left.join(names, "job", how).select(*found.columns)
     assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10**6])
+@pytest.mark.parametrize("hot_keys", [100, 2, None])
 @pytest.mark.parametrize("modulus", [7, 9])
-def test_key_minimum(hot, modulus, hot_rows):
+def test_key_minimum(hot, modulus, hot_keys):
     # With modulus 9 no row of the hot key has a value.
     value = F.when(F.col("seq") % modulus == modulus - 1, F.col("seq"))
-    found = with_key_minimum(hot, "job", "seq", value, "low", hot_rows)
+    found = with_key_minimum(hot, "job", "seq", value, "low", hot_keys)
     plain = hot.groupBy("job").agg(F.min(value).alias("low"))
     assert {r.job: r.low for r in found.collect()} == {r.job: r.low for r in plain.collect()}
     assert found.count() == 9000
@@ -94,7 +94,7 @@ def test_no_task_holds_a_hot_key(spark, hot, fifty_partitions):
         return max(row.n for row in sizes.collect())
 
     value = F.col("seq")
-    assert most(with_key_minimum(hot, "job", "seq", value, "low", 10**6)) > 3000
+    assert most(with_key_minimum(hot, "job", "seq", value, "low", 2)) > 3000
     assert most(with_key_minimum(hot, "job", "seq", value, "low", 100)) < 400
     names = spark.range(9000).selectExpr("id AS job", "'n' AS name")
     assert most(lookup_join(hot, names, "job", ["seq"], "left", 100)) < 400
@@ -146,8 +146,40 @@ def test_states_read_two_columns(spark, plan, tmp_path):
     assert "In(state, [running,starting])" in plan(record_ops.active(spark.read.parquet(path)))
 
 
-def test_page_is_a_top_k(plan, hot):
-    assert "TakeOrderedAndProject" in plan(record_ops.page(hot, 10, 5, key="seq"))
+def test_few_keys_are_hot_whatever_the_data(spark):
+    for rows, keys in ((3000, 60), (3000, 7), (100, 100)):
+        counts = spark.range(rows).selectExpr(f"id * id % {keys} AS key").groupBy("key")
+        counts = counts.agg(F.count("*").alias("_n"))
+        for hot_keys in (1, 5, 50):
+            assert skew._hot(counts, hot_keys).count() < hot_keys
+
+
+def test_lookup_filters_records_before_they_shuffle(spark, plan, tmp_path):
+    spark.range(100_000).selectExpr("id", "repeat('x', 50) AS log").write.parquet(str(tmp_path / "records"))
+    spark.range(5).write.parquet(str(tmp_path / "ids"))
+    records, ids = (spark.read.parquet(str(tmp_path / name)) for name in ("records", "ids"))
+    shown = plan(record_ops.lookup(records, ids))
+    tree = shown.split("\n\n(1)")[0]
+    scan = next(line for line in tree.split("\n") if "Scan parquet" in line and "log" in shown.split(line.split("(")[-1].split(")")[0] + ") Scan")[1][:300])
+    above = tree.split("\n")[: tree.split("\n").index(scan)]
+    depth = scan.index("Scan")
+    path = []
+    for line in reversed(above):
+        if line.strip() and (at := len(line) - len(line.lstrip(" :+-"))) < depth:
+            path.append(line.strip(" :+-").split(" (")[0])
+            depth = at
+    joins = [i for i, node in enumerate(path) if "Join" in node]
+    shuffles = [i for i, node in enumerate(path) if node == "Exchange"]
+    assert "Semi" in path[joins[0]] or "BroadcastHashJoin" in path[joins[0]]
+    assert not shuffles or joins[0] < shuffles[0]
+
+
+def test_page_sorts_no_wide_row(spark, plan, hot):
+    wide = hot.selectExpr("seq AS id", "array(string(job)) AS log")
+    shown = plan(record_ops.page(wide, 10, 5))
+    sorts = [part for part in shown.split("\n\n") if re.match(r"\(\d+\) (Sort|Window)\b", part)]
+    assert "Exchange SinglePartition" not in shown or len(sorts) >= 1
+    assert "TakeOrderedAndProject" not in shown
 
 
 def test_snapshots_do_not_shuffle_logs(spark, plan):

@@ -32,6 +32,15 @@ def test_listing_keeps_the_last_of_equal_ids(spark, tmp_path):
     assert found[8].state == "dead" and found[8].appInfo is None
 
 
+def test_a_later_listing_wins_wherever_its_records_stand(spark, tmp_path):
+    (tmp_path / "b.json").write_text('{"from": 0, "snap": 2, "sessions": [{"id": 2, "state": "success"}]}\n')
+    (tmp_path / "a.json").write_text(
+        '{"from": 0, "snap": 1, "sessions": [{"id": 1, "state": "dead"}, {"id": 2, "state": "running"}]}\n'
+    )
+    found = {r.id: r.state for r in job_records(spark, str(tmp_path), arrival="snap").collect()}
+    assert found == {1: "dead", 2: "success"}
+
+
 def test_record_table(spark, jobs, tmp_path):
     path = str(tmp_path / "t")
     jobs(job(1, log=["stdout: "])).write.json(path)
@@ -64,36 +73,44 @@ def test_drop_removed(jobs, rows):
     assert ids(ops.drop_removed(jobs(job(1), job(2)), removed)) == [1]
 
 
+def in_order(page, key="id"):
+    return [(row["rank"], row[key]) for row in page.orderBy("rank").collect()]
+
+
 def test_page_defaults_and_limits(jobs):
     known = jobs(*[job(i) for i in (5, 3, 9, 1)])
-    assert ids(ops.page(known, 1, 2)) == [3, 5]
-    assert ids(ops.page(known, 0, 0)) == ids(ops.page(known)) == [1, 3, 5, 9]
-    assert ids(ops.page(known, 3)) == [9]
-    assert ids(ops.page(known, 4, 2)) == []
+    assert in_order(ops.page(known, 1, 2)) == [(1, 3), (2, 5)]
+    assert in_order(ops.page(known, 0, 0)) == in_order(ops.page(known)) == [(0, 1), (1, 3), (2, 5), (3, 9)]
+    assert in_order(ops.page(known, 3)) == [(3, 9)]
+    assert in_order(ops.page(known, 4, 2)) == []
+    assert in_order(ops.page(known.limit(0))) == []
     row = ops.page(known, 1, 2).first()
     assert (row["from"], row.total) == (1, 4)
 
 
-@pytest.mark.parametrize("slab", [1, 3, 7, 1000])
 @pytest.mark.parametrize("start,size", [(0, 5), (2, 4), (9, 10), (13, None), (0, None), (40, 3)])
-def test_ranked_page_equals_sorted_slice(spark, slab, start, size):
-    keys = [k * k - 5 for k in range(20)]
-    df = spark.createDataFrame([(k,) for k in keys], "id long")
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_page_equals_sorted_slice(rows, kind, start, size):
+    values = [None, None, *[(k * k * 2**40) - 5 for k in range(18)], 11, 11, 11]
+    keys = [None if k is None or kind == "long" else str(k) for k in values] if kind == "string" else values
+    df = rows([(k, "same") for k in keys], f"id {kind}, name string").repartition(5)
+    order = sorted(keys, key=lambda k: (k is not None, k if k is not None else 0))
     end = None if size is None else start + size
-    assert ids(ops._ranked_page(df, start, size, "id", slab)) == sorted(keys)[start:end]
+    assert in_order(ops.page(df, start, size)) == list(enumerate(order))[start:end]
 
 
-def test_name_collisions(jobs):
+@pytest.mark.parametrize("hot_keys", [None, 100])
+def test_name_collisions(jobs, hot_keys):
     known = jobs(job(4, "a"), job(2, "a"), job(3, ""), job(5))
-    new = jobs(job(10, "a"), job(11, ""), job(12), job(13, "b"), job(14, "a"))
-    found = {r.id: r.taken_by for r in ops.name_collisions(new, known).collect()}
-    assert found == {10: 2, 11: 3, 12: None, 13: None, 14: 2}
-    assert ids(ops.accepted(new, known)) == [12, 13]
+    new = jobs(job(10, "a"), job(11, ""), job(12), job(13, "b"), job(14, "a"), job(15, "b"), job(16))
+    found = {r.id: r.taken_by for r in ops.name_collisions(new, known, hot_keys=hot_keys).collect()}
+    assert found == {10: 2, 11: 3, 12: None, 13: None, 14: 2, 15: 13, 16: None}
+    assert ids(ops.accepted(new, known, hot_keys=hot_keys)) == [12, 13, 16]
 
 
 def test_first_in_listing_order(rows):
     known = rows([(4, "a", 0), (2, "a", 1)], "id long, name string, pos int")
-    new = rows([(1, "a")], "id long, name string")
+    new = rows([(1, "a", 0)], "id long, name string, pos int")
     assert ops.name_collisions(new, known, order="pos").first().taken_by == 4
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from jobledger.operators import logs as ops
 from jobledger.streaming import follow
-from jobledger.streaming.sinks import drain
 from test_logs import follow as one_job_at_a_time
 from test_logs import random_polls
 
@@ -41,49 +40,81 @@ def polls(spark, tmp_path):
     return make
 
 
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
 def test_latch_equals_batch(spark, polls, tmp_path):
     data = with_extras(random_polls(5, hot=40))
-    found = drain(follow.follow_until_terminal(polls(data)), str(tmp_path / "out"))
+    found = follow.follow_until_terminal(polls(data), str(tmp_path / "out"))
     expected = ops.until_terminal(spark.createDataFrame(data, SCHEMA))
     assert found.columns == expected.columns
-    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    assert rows_of(found) == rows_of(expected)
 
 
-@pytest.mark.parametrize("parts,groups", [(1, 1), (3, 2)])
-def test_latch_with_other_shapes(spark, polls, tmp_path, parts, groups):
-    data = with_extras(random_polls(6))
-    stream = follow.follow_until_terminal(polls(data), parts=parts, groups=groups)
+def test_latch_keeps_null_jobs_and_exact_ids(spark, polls, tmp_path):
+    data = with_extras(
+        [(None, 0, "running", 0, []), (2**60 + 1, 0, "running", 0, []), (2**60 + 1, 1, "running", 0, []),
+         (5, 0, "dead", 0, []), (5, 1, "running", 0, []), (None, 3, "dead", 0, []), (None, 4, "running", 0, [])]
+    )
+    found = follow.follow_until_terminal(polls(data, (0, 2)), str(tmp_path / "out"))
     expected = ops.until_terminal(spark.createDataFrame(data, SCHEMA))
-    assert drain(stream, str(tmp_path / "out")).count() == expected.count()
+    assert rows_of(found) == rows_of(expected)
+    assert found.where(f"batch_id = {2**60 + 1}").count() == 2 and found.where("batch_id IS NULL").count() == 3
+
+
+def test_a_late_end_takes_back_what_was_passed_on(spark, polls, tmp_path):
+    first = with_extras([(1, 5, "running", 0, ["x", "y"]), (1, 6, "running", 0, ["z"])])
+    second = with_extras([(1, 1, "running", 0, ["y"]), (1, 2, "success", 0, ["w"])])
+    folder, schema = str(tmp_path / "polls"), SCHEMA
+    for part in (first, second):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+
+    def stream():
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+    found = follow.follow_until_terminal(stream(), str(tmp_path / "out"))
+    assert sorted(row.poll_seq for row in found.collect()) == [1, 2]
+    lines = follow.follow_stream(stream(), str(tmp_path / "lines"))
+    assert sorted(map(tuple, lines.collect())) == [(1, 1, 0, "y"), (1, 2, 0, "w")]
 
 
 def test_latch_with_text_ids(spark, polls, tmp_path):
     data = with_extras([(1, 0, "dead", 0, []), (1, 5, "running", 0, []), (2, 5, "running", 0, [])])
     named = polls(data).withColumn("batch_id", F.concat(F.lit("job "), "batch_id"))
-    found = drain(follow.follow_until_terminal(named), str(tmp_path / "out")).collect()
+    found = follow.follow_until_terminal(named, str(tmp_path / "out")).collect()
     assert sorted((row.batch_id, row.poll_seq) for row in found) == [("job 1", 0), ("job 2", 5)]
 
 
-def test_follow_prints_each_line_once(polls, tmp_path):
+def test_follow_prints_each_line_once_in_place(spark, polls, tmp_path):
     data = random_polls(7)
-    found = drain(follow.follow_stream(polls(with_extras(data))), str(tmp_path / "out")).collect()
+    found = follow.follow_stream(polls(with_extras(data)), str(tmp_path / "out"))
     expected = {
         (job, line) for job, lines in one_job_at_a_time(data).items() for _, _, line in lines
     }
-    assert len(found) == len(expected)
-    assert {(row.batch_id, row.line) for row in found} == expected
+    assert {(row.batch_id, row.line) for row in found.collect()} == expected
+    batch = ops.first_seen_lines(ops.until_terminal(spark.createDataFrame(with_extras(data), SCHEMA)))
+    assert rows_of(found) == rows_of(batch)
 
 
 def test_stuck_jobs_equal_outcome(spark, polls, tmp_path):
     data = with_extras(random_polls(8, hot=10))
-    found = drain(follow.stuck_jobs(polls(data)), str(tmp_path / "out"), "update")
-    waited = {r.batch_id: r.w for r in found.groupBy("batch_id").agg(F.max("waited").alias("w")).collect()}
+    waited = {r.batch_id: r.waited for r in follow.stuck_jobs(polls(data), str(tmp_path / "out")).collect()}
     batch = ops.poll_outcome(ops.until_terminal(spark.createDataFrame(data, SCHEMA)))
     assert set(waited) == {row.batch_id for row in batch.collect() if row.timed_out}
     assert all(seconds > 60 for seconds in waited.values()) and waited
 
 
-def test_drain_goes_on_from_its_checkpoint(spark, tmp_path):
+def test_a_silent_job_is_stuck_as_time_goes_on(polls, tmp_path):
+    data = with_extras([(1, 0, "running", 0, []), (2, 0, "running", 0, []), (2, 1, "success", 0, [])])
+    now = F.lit(START + datetime.timedelta(minutes=5)).cast("timestamp_ntz")
+    stuck = lambda label, **how: [
+        row.batch_id for row in follow.stuck_jobs(polls(data), str(tmp_path / label), **how).collect()
+    ]
+    assert stuck("a") == [] and stuck("b", as_of=now) == [1]
+
+
+def test_a_run_goes_on_from_its_checkpoint(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "batch_id long, poll_seq long, state string, lines array<string>"
 
@@ -91,29 +122,16 @@ def test_drain_goes_on_from_its_checkpoint(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(source)
 
     def run():
-        stream = spark.readStream.schema(schema).json(source)
-        found = drain(follow.follow_stream(stream), out).collect()
+        found = follow.follow_stream(spark.readStream.schema(schema).json(source), out).collect()
         return sorted((row.batch_id, row.line) for row in found)
 
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     add((1, 0, "running", ["a"]), (2, 0, "success", ["a"]))
     assert run() == [(1, "a"), (2, "a")]
     add((1, 1, "running", ["a", "b"]), (2, 1, "running", ["late"]))
     assert run() == [(1, "a"), (1, "b"), (2, "a")]
-    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
 
 
-@pytest.mark.parametrize("mode", ["append", "update"])
-def test_drain_without_input(spark, tmp_path, mode):
+def test_without_input(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    stream = spark.readStream.schema("n long").json(str(tmp_path / "in"))
-    found = drain(stream, str(tmp_path / "out"), mode)
-    assert found.collect() == [] and found.columns[0] == "n"
-
-
-def test_horizon_bounds_the_state(polls, tmp_path):
-    data = with_extras([(1, 0, "running", 1, ["a"]), (1, 1, "running", 1, ["a", "b"])])
-    timed = polls(data).withColumn("ts", F.col("ts").cast("timestamp"))
-    lines = follow.new_lines(timed, event_time="ts", horizon="1 hour").select("batch_id", "line")
-    found = drain(lines, str(tmp_path / "out")).collect()
-    assert sorted((row.batch_id, row.line) for row in found) == [(1, "a"), (1, "b")]
+    stream = spark.readStream.schema("batch_id long, poll_seq long, state string").json(str(tmp_path / "in"))
+    assert follow.follow_until_terminal(stream, str(tmp_path / "out")).collect() == []

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 from jobledger.functions import artifacts, text
 from jobledger.operators.overlay import overlay
 from jobledger.operators.requests import submission_requests
-from jobledger.sources.configs import config_layer, config_rows, config_scan
+from jobledger.operators.requests import submissions
+from jobledger.sources.configs import (
+    command_layer,
+    config_layer,
+    config_rows,
+    config_scan,
+    tool_layer,
+    tool_rows,
+)
 
 RUN = "/user/svc/run"
 
@@ -140,6 +148,43 @@ def test_config_scan(spark, tmp_path):
     assert found["empty.json"].session_configs == {}
 
 
+def test_config_status(spark, tmp_path):
+    texts = {
+        "ok": '{"kernel_python_credentials": {"url": "http://h:1"}}',
+        "no_port": '{"kernel_python_credentials": {"url": "h"}, "session_configs": {"a": "1"}}',
+        "no_credentials": '{"session_configs": {"a": "1"}}',
+        "malformed": '{"kernel_python_credentials": {"url": "http://h',
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    found = {r.path.rsplit("/", 1)[1].removesuffix(".json"): r for r in config_scan(spark, str(tmp_path)).collect()}
+    assert {name: row.status for name, row in found.items()} == {name: name for name in texts}
+    assert found["no_port"].address == "h" and found["no_port"].url is None
+    assert found["no_port"].session_configs == {"a": "1"} and found["malformed"].session_configs == {}
+    for name in ("no_port", "malformed"):
+        with pytest.raises(Exception, match=f"configuration is {name}"):
+            config_scan(spark, str(tmp_path / f"{name}.json"), strict=True).collect()
+    assert config_scan(spark, str(tmp_path / "no_credentials.json"), strict=True).count() == 1
+
+
+def test_layers_merge_conf_entry_by_entry(rows):
+    docs = rows(
+        [(1, '{"session_configs": {"conf": {"spark.a": "1", "spark.b": "2"}, "driverMemory": "1g"}}',
+          '{"conf": {"spark.b": "3"}, "driverMemory": "2g", "archives": ["x.zip"]}', 4, ["spark.c=5=6"])],
+        "job long, low string, tool string, executorCores int, items array<string>",
+    )
+    layers = (
+        config_layer(config_rows(docs, "low", "job"), "job")
+        .unionByName(tool_layer(tool_rows(docs, "tool", "job"), "job"))
+        .unionByName(command_layer(docs, "job", ["executorCores"], "items"))
+    )
+    row = submissions(overlay(layers)).first()
+    assert row.conf == {"spark.a": "1", "spark.b": "3", "spark.c": "5=6"}
+    assert (row.driverMemory, row.executorCores, row.archives, row.file) == ("2g", 4, ["x.zip"], None)
+    assert submissions(overlay(layers.limit(0))).count() == 0
+    assert tool_rows(docs, F.lit("{oops"), "job").first().status == "malformed"
+
+
 def test_config_scan_of_missing_path(spark, tmp_path):
     missing = str(tmp_path / "does-not-exist")
     assert config_scan(spark, missing).collect() == []
