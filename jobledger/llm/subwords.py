@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobledger.llm import words as W
-from jobledger.llm.tables import id_and_text
+from jobledger.llm.tables import KEY, id_and_text, keyed, written
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0, 9, 10, 11, 12, 13, 32]] = True
@@ -172,15 +172,20 @@ def train(texts: Sequence[bytes], labels: Sequence[int], settings: Settings) ->
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, settings: Settings) -> tuple[list[bytes], list[int]]:
-    """The sample to learn from: the labelled documents whose ids hash lowest."""
-    rows = id_and_text(docs).join(
-        labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).alias("_label")), "doc_id"
-    )
+    """The sample to learn from: the labelled documents whose ids hash lowest.
+
+    The sample is chosen by ids and sizes alone; only the texts of the chosen documents, no more than
+    ``sample``, leave the scan. Labels other than 0 and 1, and documents without an id, are left out.
+    """
+    keys = keyed(docs)
     small = F.octet_length("text").between(1, settings.sample_bytes)
-    rows = rows.where(F.col("_label").isin(0, 1) & small)
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(settings.sample)
-    found = rows.select(F.col("text").cast("binary").alias("text"), "_label").collect()
-    return [bytes(row["text"]) for row in found], [row["_label"] for row in found]
+    labels = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("_label"))
+    chosen = keys.where(small).select(*KEY).join(labels.where(F.col("_label").isin(0, 1)), "doc_id").distinct()
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "_h", "_label").limit(settings.sample)
+    chosen = F.broadcast(written(chosen, "labelled-keys"))  # at most ``sample`` short rows
+    found = keys.join(chosen, list(KEY)).groupBy(*KEY, "_label").agg(F.any_value("text").alias("text"))
+    found = found.orderBy(F.xxhash64("doc_id"), "doc_id", "_h", "_label").collect()
+    return [row["text"].encode() for row in found], [row["_label"] for row in found]
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
