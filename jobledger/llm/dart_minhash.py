@@ -12,10 +12,11 @@ the dart of lowest rank; two documents agree in one with the probability of thei
 coordinate stays empty, the document is thrown at again up to twice the rank.
 
 Join. Texts with the same words are one class member, found by a hash of the words. The others meet
-in bands of the signature. In every band bucket all members are compared with the smallest one; what
-is not in its component by then is compared with the members of the other components of the bucket,
-in a second pass, so that no link between members of a bucket is lost, although a bucket of copies
-gives one pair a member instead of all pairs. Every candidate is checked by its exact similarity.
+in bands of the signature. In every band bucket all members are compared with the smallest one, which
+gives a bucket of copies one pair a member. Buckets whose members are not in one component by then
+are cut into blocks, and every two blocks are compared by one product of their shingle tables, of
+which only the links that join components leave the task. So no link between members of a bucket is
+lost, and no pairs are emitted. All similarities are exact.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from jobledger.llm.tables import KEY, keyed, written
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 1.0 / (1 << 53)
+BLOCK = 256  # members of a bucket that are compared in one table, against as many others
 
 
 def _uniform(values: np.ndarray) -> np.ndarray:
@@ -233,10 +235,10 @@ def near_duplicates(
     texts = _texts(docs, members.join(slots.select("member").distinct(), "member", "left_semi"))
     links = written(_verified(pairs, texts, shingle_words, threshold), "near-links")
     roots = components(links)
-    more = written(_between(slots, roots).join(pairs, ["a", "b"], "left_anti"), "near-more")
-    if more.limit(1).count():
-        again = _verified(more, texts, shingle_words, threshold)
-        roots = components(links.unionByName(again))
+    placed = _mixed(slots, roots)
+    if placed.limit(1).count():
+        again = _joined(placed, texts, shingle_words, threshold)
+        roots = components(links.unionByName(written(again, "near-joined")))
     return _classes(signed, members, roots)
 
 
@@ -247,18 +249,105 @@ def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:
     return written(docs.join(keys, same).select("member", "text").dropDuplicates(["member"]), "near-texts")
 
 
-def _between(slots: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members that share a bucket but no component."""
+def _mixed(slots: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, i, j, member, root): the members of buckets of two components and more, by block.
+
+    A bucket of ``BLOCK`` members is one block; of more, a member is sent to every pair (i, j) of
+    blocks with its own.
+    """
     placed = slots.select("bucket", "member").join(
         roots.withColumnRenamed("node", "member"), "member", "left"
     )
     placed = placed.select("bucket", "member", F.coalesce("root", "member").alias("root"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    placed = placed.join(mixed.where("lo < hi").select("bucket"), "bucket", "left_semi")
-    placed = written(placed, "near-mixed")
-    other = placed.select("bucket", F.col("member").alias("b"), F.col("root").alias("root_b"))
-    pairs = placed.join(other, "bucket").where("root <> root_b AND member < b")
-    return pairs.select(F.col("member").alias("a"), "b").distinct()
+    mixed = placed.groupBy("bucket").agg(
+        F.min("root").alias("lo"),
+        F.max("root").alias("hi"),
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
+    )
+    placed = placed.join(mixed.where("lo < hi").select("bucket", "blocks"), "bucket")
+    own = F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: other != own)
+    placed = placed.withColumn("other", F.explode(F.when(F.col("blocks") > 1, others).otherwise(F.array(own))))
+    placed = placed.select(
+        "bucket", F.least(own, "other").alias("i"), F.greatest(own, "other").alias("j"), "member", "root"
+    )
+    return written(placed, "near-mixed")
+
+
+def _joined(placed: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    """Links (a, b) that join components of a bucket."""
+    rows = placed.join(texts, "member").repartition("bucket", "i", "j")
+    rows = rows.sortWithinPartitions("bucket", "i", "j")
+    return rows.mapInArrow(lambda batches: _block_links(batches, size, threshold), "a bigint, b bigint")
+
+
+def _block_links(batches: Iterator[pa.RecordBatch], size: int, threshold: float) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
+    key = None
+    links: list[tuple[int, int]] = []
+    for batch in batches:
+        names = ["bucket", "i", "j", "member", "root"]
+        rows = zip(*(batch.column(name).to_pylist() for name in names), W.text_bytes(batch.column("text")))
+        for *group, member, root, text in rows:
+            if group != key and held:
+                links += _spanning(held, size, threshold)
+                held = []
+            key = group
+            held.append((member, root, text))
+        yield _link_batch(links)
+        links = []
+    if held:
+        yield _link_batch(_spanning(held, size, threshold))
+
+
+def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = list(zip(*links)) if links else [(), ()]
+    return pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], ["a", "b"])
+
+
+def _spanning(held: list[tuple], size: int, threshold: float) -> list[tuple[int, int]]:
+    """Of the links among the members, those of a tree over the components they join."""
+    members = np.array([member for member, _, _ in held])
+    _, root = np.unique([root for _, root, _ in held], return_inverse=True)
+    if root.max() == 0:
+        return []
+    similar = _similarities([text for _, _, text in held], size) >= threshold - 1e-12
+    similar &= root[:, None] != root[None, :]
+    links = []
+    group = root.copy()
+    for i in range(len(members)):
+        for j in np.flatnonzero(similar[i] & (group != group[i])):
+            if group[j] != group[i]:
+                links.append((int(members[i]), int(members[j])))
+                group[group == group[j]] = group[i]
+    return links
+
+
+def _similarities(texts: list[bytes], size: int) -> np.ndarray:
+    """Weighted Jaccard index of every two texts: a product of tables of (shingle, copy) columns."""
+    words, offsets = W.hashed_words(texts)
+    text, shingle, often = weighted_shingles(words, offsets, size)
+    of = np.repeat(np.arange(len(text)), often)
+    copy = np.arange(len(of)) - np.repeat(np.cumsum(often) - often, often)
+    text, shingle = text[of], W.mix(shingle[of] + W.mix(copy.astype(np.uint64)))
+    total = np.bincount(text, minlength=len(texts)).astype(np.float32)
+    order = np.argsort(shingle, kind="stable")
+    text, shingle = text[order], shingle[order]
+    new = np.ones(len(shingle), dtype=bool)
+    new[1:] = shingle[1:] != shingle[:-1]
+    column = np.cumsum(new) - 1
+    shared = np.bincount(column)[column] > 1 if len(column) else new  # others are in no intersection
+    text, column = text[shared], column[shared]
+    _, column = np.unique(column, return_inverse=True)
+    both = np.zeros((len(texts), len(texts)), dtype=np.float32)
+    width = max(1, (1 << 22) // len(texts))
+    columns = int(column.max(initial=-1)) + 1
+    for first in range(0, columns, width):
+        low, high = np.searchsorted(column, [first, first + width])
+        table = np.zeros((len(texts), min(width, columns - first)), dtype=np.float32)
+        table[text[low:high], column[low:high] - first] = 1.0
+        both += table @ table.T
+    return both / np.maximum(total[:, None] + total[None, :] - both, 1.0)
 
 
 def _classes(signed: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame:
