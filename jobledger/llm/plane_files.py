@@ -23,6 +23,8 @@ table is written by Spark's committer: a lost executor leaves no half block behi
 from __future__ import annotations
 
 import functools
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -37,7 +39,7 @@ from jobledger.llm.tables import keyed, written
 
 MAGIC = b"IDP1"
 _HEAD = struct.Struct("<4sBBHI")
-_CACHED = 300_000
+_CACHED = 1_000_000
 
 
 def encode_block(ids: np.ndarray, bits: int = 16, planes: int = 1, level: int = 3) -> bytes:
@@ -77,31 +79,65 @@ def decode_block(payload: bytes) -> np.ndarray:
     return raw.reshape(-1).view("<u4")
 
 
+# The words of texts in plain Latin letters, cut as the tokenizer's own rules cut them: NFC leaves these
+# characters alone, and lower case is one to one.
+_PLAIN = re.compile("[\t\n\r -~¡¿«»À-ÖØ-öø-ÿ]*")
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\\[-`{-~¡¿«»]+")
+# Fixed value: the pattern of tokenizers that are cut in this way.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class Tokens:
-    """Ids of texts from a tokenizer whose pieces never span a space or a line end.
+    """Ids of texts, each as the tokenizers library gives them for the whole text.
 
-    Texts are cut at those two and each distinct piece is encoded once; the most recent pieces are
-    kept. The ids are those of the whole text, as the tokenizer drops white space before it merges.
+    A tokenizer that puts texts in lower case, cuts them by a pattern and merges within the pieces
+    needs each distinct piece once. Texts in plain Latin letters are cut here, pieces are looked up,
+    and the library's model merges new ones; the last million are kept. Other texts, such with special
+    tokens, and all texts of other tokenizers are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        steps = [step["type"] for step in (spec["normalizer"] or {}).get("normalizers", ())]
+        cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", ())
+        self.cut = (
+            steps == ["NFC", "Replace", "Lowercase"]
+            and [cut["type"] for cut in cuts] == ["Split", "ByteLevel"]
+            and cuts[0]["pattern"] == {"Regex": _PATTERN}
+            and (cuts[0]["behavior"], cuts[0]["invert"]) == ("Removed", True)
+            and not (cuts[1]["add_prefix_space"] or cuts[1]["use_regex"])
+            and spec["model"]["type"] == "BPE"
+            and not spec["model"]["dropout"]
+        )
+        self.special = [token["content"] for token in spec["added_tokens"]]
+        # The model reads bytes as the characters that the last step makes of them.
+        self.as_bytes = {}
+        if self.cut:
+            for char in "¡¿«»ß" + "".join(map(chr, [*range(0xE0, 0xF7), *range(0xF8, 0x100)])):
+                mapped = self.tokenizer.pre_tokenizer.pre_tokenize_str(char)
+                self.as_bytes[ord(char)] = "".join(piece for piece, _ in mapped)
 
     def ids(self, text: str) -> np.ndarray:
-        pieces = text.replace("\n", " ").split(" ")
-        known = self.known
-        new = [piece for piece in set(pieces) if piece not in known]
-        if new:
-            if len(known) > _CACHED:
-                known.clear()
-                known[""] = b""
-                new = list(set(pieces) - {""})
-            for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[piece] = np.array(found.ids, dtype="<u4").tobytes()
-        return np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype="<u4")
+        if not self.cut or not _PLAIN.fullmatch(text) or any(token in text for token in self.special):
+            return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        pieces = _PIECE.findall(text.lower())
+        try:
+            return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), dtype="<u4")
+        except KeyError:
+            self._learn(set(pieces))
+        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), dtype="<u4")
+
+    def _learn(self, pieces: set[str]) -> None:
+        if len(self.known) > _CACHED:
+            self.known.clear()
+        for piece in pieces:
+            if piece not in self.known:
+                found = self.tokenizer.model.tokenize(piece.translate(self.as_bytes))
+                self.known[piece] = np.array([token.id for token in found], dtype="<u4").tobytes()
 
 
 @functools.lru_cache(maxsize=1)
