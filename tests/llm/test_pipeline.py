@@ -11,7 +11,7 @@ from jobledger.llm import plane_files
 
 
 def test_stages(spark, docs, prose, tmp_path):
-    item = prose(40, 77)
+    item = prose(40, 7777)
     rows = [(100 + i, prose(30, i) + (" scum idiot" if i % 4 == 0 else "")) for i in range(200)]
     rows += [(400, item), (401, prose(20, 900) + " " + item), (500, prose(80, 901)), (501, prose(80, 901))]
     rows += [r for r in ODD if r[1] is not None]
