@@ -204,7 +204,10 @@ def score_of(text: str, model: Model) -> Column:
 
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(scores([(value or "").encode() for value in texts], model))
+        # Not all texts of a batch as bytes at once.
+        parts = [texts[first : first + 500] for first in range(0, len(texts), 500)]
+        found = [scores([(value or "").encode() for value in part], model) for part in parts]
+        return pd.Series(np.concatenate(found) if found else np.zeros(0))
 
     return run(F.coalesce(F.col(text), F.lit("")))
 
