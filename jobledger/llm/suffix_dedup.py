@@ -4,25 +4,28 @@ A position is removable if the ``length`` bytes (100) that begin there also begi
 document of smaller id, or before it in its own. What removable positions cover is removed.
 
 Ranking every position of a text takes twenty times its size in sorted pairs, so ranks are worked out
-in two steps over fewer and fewer positions, without losing one.
-
-1. Anchors. Of the 65 strings of 36 bytes in each window of 100 bytes the one with the smallest hash is
-   its anchor, so equal windows have equal anchors wherever they stand. Consecutive windows with one
-   anchor, about 33, make a block. Blocks get the rank pair (36 bytes at the anchor, all bytes that
-   their windows span). An anchor that is unique ends there, and so do its windows. A block that is
-   equal to an earlier one is past the threshold: all its windows are removable.
-2. Windows. Only the first of equal blocks goes on, and only if its anchor also stands in other
-   blocks. Its windows get the pair of the ranks of their two halves, sorted by Spark; all but the
-   first position of a pair are removable.
-
-Ranks are 64-bit hashes, so a pair has 128 bits. Strings that one task sees more than once are ranked
-there and sent once; a passage that a third of all documents share sends a row a batch.
+in three rounds over fewer and fewer positions, without losing one. A round gives runs of windows, of
+``length`` bytes each, the rank pair (bytes that every window of the run has, bytes of the whole run).
+A run whose first rank is unique ends there, and so do its windows. A run that is equal to an earlier
+one is past the threshold: all its windows are removable. Only the first of equal runs goes on, and
+only if its first rank also stands in other runs; it is cut up for the next round.
+
+1. Blocks. Of the strings of ``anchor`` bytes (24) in each window, the one with the smallest hash is its
+   anchor, so equal windows have equal anchors wherever they stand. Consecutive windows with one
+   anchor, about 39, are a run; the anchor is what all of them have.
+2. Parts. Windows that begin 0 to 7 bytes before the anchor, 8 to 15 and so on; all but seven bytes
+   of a window are common to a part.
+3. Windows. Here the pair is of the ranks of the two halves, as in any round of prefix doubling.
+
+Ranks are 64-bit hashes, so a pair has 128 bits, and Spark sorts the pairs. Runs that one task sees
+more than once are ranked there and sent once; a passage that a third of all documents share sends a
+row a batch.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,8 @@ from jobledger.llm.tables import keyed, written
 
 _NO_ID = -(1 << 63)
 _PLACE_BITS = 24
-_RANKS = "id bigint, h bigint, place bigint, n bigint, rank bigint, more bigint, later boolean"
+_PART = 8  # windows of a part
+_RANKS = "id bigint, h bigint, place bigint, n bigint, lead int, rank bigint, more bigint, later boolean"
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -66,7 +70,7 @@ def _pieces(texts: Sequence[bytes], length: int) -> Iterator[list[tuple[int, int
 
 
 def _blocks(texts: Sequence[bytes], length: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """(text, place, windows, rank of the anchor, rank of the span) of every block, in order."""
+    """(text, place, windows, anchor's place in it, ranks of anchor and of all bytes) of every block."""
     out = []
     for held in _pieces(texts, length):
         data = np.frombuffer(b"".join(piece for _, _, piece in held), dtype=np.uint8)
@@ -94,32 +98,65 @@ def _blocks(texts: Sequence[bytes], length: int, anchor: int) -> tuple[np.ndarra
         which = piece[start]
         text = np.array([i for i, _, _ in held], dtype=np.int64)[which]
         shift = (np.array([begin for _, begin, _ in held], dtype=np.int64) - begins)[which]
-        out.append((text, start + shift, end - start + 1, grams[at], span))
+        out.append((text, start + shift, end - start + 1, at - start, grams[at], span))
+    return _columns(out)
+
+
+def _columns(out: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     if not out:
-        return tuple(np.zeros(0, dtype=kind) for kind in (np.int64,) * 3 + (np.uint64,) * 2)
+        return tuple(np.zeros(0, dtype=kind) for kind in (np.int64,) * 4 + (np.uint64,) * 2)
     return tuple(np.concatenate(column) for column in zip(*out))
 
 
-def _windows(texts: Sequence[bytes], blocks: Sequence[list[dict]], length: int) -> tuple[np.ndarray, ...]:
-    """(text, place, 1, rank of the first half, rank of the second) of every window of the blocks."""
+def _runs_of(
+    texts: Sequence[bytes], runs: pa.ListArray, length: int
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, where the slice begins, its running sums, place, n and lead of its runs), in order."""
+    ends = runs.offsets.to_numpy() - runs.offsets[0].as_py()
+    place, n, lead = (
+        runs.flatten().field(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("place", "n", "lead")
+    )
+    for i, text in enumerate(texts):
+        own = slice(ends[i], ends[i + 1])
+        order = np.argsort(place[own])
+        own_place, own_n, own_lead = place[own][order], n[own][order], lead[own][order]
+        for begin in range(0, len(text), W.SLICE):
+            low, high = np.searchsorted(own_place, [begin, begin + W.SLICE])
+            if low < high:
+                far = int((own_place + own_n)[low:high].max()) + length
+                sums = W.prefix_sums(np.frombuffer(text[begin:far], dtype=np.uint8))
+                yield i, begin, sums, own_place[low:high], own_n[low:high], own_lead[low:high]
+
+
+def _parts(texts: Sequence[bytes], blocks: pa.ListArray, length: int) -> tuple[np.ndarray, ...]:
+    """The same of the parts of blocks; their lead is not needed any more."""
+    out = []
+    for i, begin, sums, place, n, lead in _runs_of(texts, blocks, length):
+        anchor = place + lead
+        low, high = (lead - n + 1) // _PART, lead // _PART
+        count = high - low + 1
+        block = np.repeat(np.arange(len(place)), count)
+        part = high[block] - (np.arange(len(block)) - np.repeat(np.cumsum(count) - count, count))
+        first = anchor[block] - np.minimum(lead[block], part * _PART + _PART - 1)
+        last = anchor[block] - np.maximum((lead - n + 1)[block], part * _PART)
+        core = anchor[block] - part * _PART - begin
+        rank = W.span_hashes(sums, core, core + length - _PART + 1)
+        more = W.span_hashes(sums, first - begin, last - begin + length)
+        rank, more = W.mix(rank + part.astype(np.uint64)), W.mix(more + (anchor[block] - first).astype(np.uint64))
+        out.append((np.full(len(first), i), first, last - first + 1, np.zeros_like(first), rank, more))
+    return _columns(out)
+
+
+def _windows(texts: Sequence[bytes], parts: pa.ListArray, length: int) -> tuple[np.ndarray, ...]:
+    """The same of the windows of parts, by the ranks of their halves."""
     half = length // 2
     out = []
-    for i, (text, own) in enumerate(zip(texts, blocks)):
-        for begin in range(0, max(len(text) - length + 1, 0), W.SLICE):
-            data = np.frombuffer(text[begin : begin + W.SLICE + length - 1], dtype=np.uint8)
-            wanted = np.zeros(len(data) - length + 2, dtype=np.int64)
-            for block in own:
-                a = min(max(block["place"] - begin, 0), len(wanted) - 1)
-                b = min(max(block["place"] + block["n"] - begin, 0), len(wanted) - 1)
-                wanted[a] += 1
-                wanted[b] -= 1
-            at = np.flatnonzero(np.cumsum(wanted)[:-1])
-            sums = W.prefix_sums(data)
-            one, two = W.span_hashes(sums, at, at + half), W.span_hashes(sums, at + half, at + length)
-            out.append((np.full(len(at), i), at + begin, np.ones(len(at), dtype=np.int64), one, two))
-    if not out:
-        return tuple(np.zeros(0, dtype=kind) for kind in (np.int64,) * 3 + (np.uint64,) * 2)
-    return tuple(np.concatenate(column) for column in zip(*out))
+    for i, begin, sums, place, n, _ in _runs_of(texts, parts, length):
+        at = np.repeat(place, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        near = at - begin
+        one, two = W.span_hashes(sums, near, near + half), W.span_hashes(sums, near + half, near + length)
+        out.append((np.full(len(at), i), at, np.ones_like(at), np.zeros_like(at), one, two))
+    return _columns(out)
 
 
 def _ranked(ids: np.ndarray, hashes: np.ndarray, found: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +164,7 @@ def _ranked(ids: np.ndarray, hashes: np.ndarray, found: tuple[np.ndarray, ...])
 
     ``found`` is in ascending order of document and place.
     """
-    text, place, n, rank, more = found
+    text, place, n, lead, rank, more = found
     joined = W.mix(rank + W.mix(more))
     order = np.argsort(joined, kind="stable")
     first = np.ones(len(order), dtype=bool)
@@ -149,6 +186,7 @@ def _ranked(ids: np.ndarray, hashes: np.ndarray, found: tuple[np.ndarray, ...])
         hashes[text[rows]],
         place[rows],
         np.concatenate([n[keep], lengths]),
+        lead[rows].astype(np.int32),
         np.concatenate([rank[keep], spread]).view(np.int64),
         np.concatenate([more[keep], spread]).view(np.int64),
         np.repeat([False, True], [len(keep), len(head)]),
@@ -156,7 +194,7 @@ def _ranked(ids: np.ndarray, hashes: np.ndarray, found: tuple[np.ndarray, ...])
     for begin in range(0, len(rows), 50_000):
         yield pa.RecordBatch.from_arrays(
             [pa.array(column[begin : begin + 50_000]) for column in columns],
-            ["id", "h", "place", "n", "rank", "more", "later"],
+            ["id", "h", "place", "n", "lead", "rank", "more", "later"],
         )
 
 
@@ -178,16 +216,17 @@ def _rank_blocks(batches: Iterator[pa.RecordBatch], length: int, anchor: int) ->
         yield from _ranked(ids, hashes, _blocks(texts, length, anchor))
 
 
-def _rank_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _rank_runs(
+    batches: Iterator[pa.RecordBatch], cut: Callable[..., tuple[np.ndarray, ...]], length: int
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         order, ids, hashes = _in_order(batch)
-        column = batch.column("text").cast(pa.binary())
-        for begin in range(0, len(order), 500):
-            some = order[begin : begin + 500]
-            texts = [column[i].as_py() for i in some.tolist()]
-            blocks = [batch.column("blocks")[i].as_py() for i in some.tolist()]
-            part = slice(begin, begin + 500)
-            yield from _ranked(ids[part], hashes[part], _windows(texts, blocks, length))
+        column, runs = batch.column("text").cast(pa.binary()), batch.column("runs")
+        for begin in range(0, len(order), 1000):
+            some = slice(begin, begin + 1000)
+            texts = [column[i].as_py() for i in order[some].tolist()]
+            found = cut(texts, runs.take(pa.array(order[some])), length)
+            yield from _ranked(ids[some], hashes[some], found)
 
 
 def _removed(batches: Iterator[pa.RecordBatch], length: int, with_text: bool) -> Iterator[pa.RecordBatch]:
@@ -219,8 +258,8 @@ def _removed(batches: Iterator[pa.RecordBatch], length: int, with_text: bool) ->
         yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def _by_document(rows: DataFrame, name: str) -> DataFrame:
-    return rows.groupBy("id", "h").agg(F.collect_list(F.struct("place", "n")).alias(name))
+def _by_document(rows: DataFrame, name: str, *columns: str) -> DataFrame:
+    return rows.groupBy("id", "h").agg(F.collect_list(F.struct(*columns)).alias(name))
 
 
 def remove_repeats(
@@ -228,7 +267,7 @@ def remove_repeats(
     doc_id: str = "doc_id",
     text: str = "text",
     length: int = 100,
-    anchor: int = 36,
+    anchor: int = 24,
     with_text: bool = False,
 ) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row, and its ``kept`` bytes if asked.
@@ -244,32 +283,35 @@ def remove_repeats(
     ranked = rows.select("id", "h", "text").mapInArrow(
         lambda batches: _rank_blocks(batches, length, anchor), _RANKS
     )
-    found = _reranked(ranked, ["rank"])
-    found = written(found.where("later OR other").select("id", "h", "place", "n", "later"), "repeat-blocks")
-
-    # The texts are dealt by document once, for the windows and for the result.
-    blocks = _by_document(found.where("NOT later"), "blocks")
-    open_ = rows.join(blocks, ["id", "h"]).select("id", "h", "text", "blocks")
-    windows = open_.mapInArrow(lambda batches: _rank_windows(batches, length), _RANKS)
-    windows = _reranked(windows, ["rank", "more"]).where("later").select("id", "h", "place", "n")
-    spans = _by_document(found.where("later").drop("later").unionByName(windows), "spans")
-    all_ = rows.join(spans, ["id", "h"], "left").select("doc_id", "text", "spans")
+    blocks = written(_reranked(ranked, True), "repeat-blocks")
+
+    # Below, texts are dealt by document once: every join reads the same shuffle of the same columns.
+    def next_round(runs: DataFrame, cut: Callable[..., tuple[np.ndarray, ...]], last: bool) -> DataFrame:
+        open_ = _by_document(runs.where("NOT later"), "runs", "place", "n", "lead")
+        dealt = rows.join(open_, ["id", "h"]).select("doc_id", "id", "h", "text", "runs")
+        ranked = dealt.mapInArrow(lambda batches: _rank_runs(batches, cut, length), _RANKS)
+        return _reranked(ranked, not last)
+
+    parts = next_round(blocks, _parts, False)
+    windows = next_round(parts, _windows, True)
+    later = [found.where("later").select("id", "h", "place", "n") for found in (blocks, parts, windows)]
+    spans = _by_document(later[0].unionByName(later[1]).unionByName(later[2]), "spans", "place", "n")
+    all_ = rows.join(spans, ["id", "h"], "left").select("doc_id", "id", "h", "text", "spans")
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     schema += ", kept binary" if with_text else ""
     return all_.mapInArrow(lambda batches: _removed(batches, length, with_text), schema)
 
 
-def _reranked(ranked: DataFrame, key: list[str]) -> DataFrame:
-    """``later``: the pair stands earlier too. ``other``: the first of its pair, the rank has others.
+def _reranked(ranked: DataFrame, goes_on: bool) -> DataFrame:
+    """Runs that are ``later``, their pair standing earlier too, and those that go to the next round.
 
-    A rank has a row for each batch of documents that holds it, not one for each place.
+    The latter are the first of their pair, with a first rank that has other pairs. A rank has a row
+    for each batch of documents that holds it, not one for each place.
     """
     pair = Window.partitionBy("rank", "more").orderBy("id", "h", "place")
     ranked = ranked.withColumn("least", F.first(F.struct("id", "h", "place")).over(pair))
+    later = F.col("later") | (F.struct("id", "h", "place") != F.col("least"))
     same = Window.partitionBy("rank")
-    if key == ["rank"]:
-        ranked = ranked.withColumn("other", F.min("more").over(same) != F.max("more").over(same))
-    else:
-        ranked = ranked.withColumn("other", F.lit(False))
-    earlier = F.struct("id", "h", "place") != F.col("least")
-    return ranked.select("id", "h", "place", "n", (F.col("later") | earlier).alias("later"), "other")
+    other = F.min("more").over(same) != F.max("more").over(same) if goes_on else F.lit(False)
+    ranked = ranked.withColumn("other", other).withColumn("later", later)
+    return ranked.where("later OR other").select("id", "h", "place", "n", "lead", "later")
