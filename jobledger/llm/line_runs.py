@@ -57,7 +57,9 @@ def remove_runs(
     first = lines.select(*KEY, "line", _rank("value").alias("rank"))
     copies = _copies(_repeated_lines(first), least)
     runs = written(_runs(copies, least), "line-runs")
-    joined = rows.join(runs, same_key(rows, runs), "left").select(rows["doc_id"], rows["_h"], "text", "runs")
+    # Always a shuffle of the texts: the runs grow with them, so no size of theirs is one to rely on.
+    joined = rows.join(runs.hint("merge"), same_key(rows, runs), "left")
+    joined = joined.select(rows["doc_id"], rows["_h"], "text", "runs")
     split = F.split("text", "\n")
     none = F.array().cast("array<struct<first:int,lines:int>>")
     runs_ = F.coalesce(F.col("runs"), none)
