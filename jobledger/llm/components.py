@@ -22,16 +22,23 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         large = _large_star(edges)
         small = written(_small_star(large), "star")
-        # A finished table is a star: no root is itself below another node.
-        roots = small.select(F.col("v").alias("u")).distinct()
-        deep = small.join(roots, "u", "left_semi").limit(1).count()
         edges = small
-        if deep == 0:
+        if _finished(small):
             break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
+def _finished(edges: DataFrame) -> bool:
+    """Whether all components are stars: no root is below another node, and every node has one root."""
+    roots = edges.select(F.col("v").alias("u")).distinct()
+    if edges.join(roots, "u", "left_semi").limit(1).count():
+        return False
+    # Where no root is below another, a node with two still holds together their components.
+    ends = edges.groupBy("u").agg(F.min("v").alias("least"), F.max("v").alias("most"))
+    return ends.where("least < most").limit(1).count() == 0
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("u").alias("node"), F.col("v").alias("near")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("u").alias("near"))

@@ -133,3 +133,20 @@ def test_components_of_a_path_and_a_star(spark):
     found = {r.node: r.root for r in components(df).collect()}
     assert found == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
     assert components(df.limit(0)).collect() == []
+
+
+def test_components_of_shuffled_numbers(spark):
+    """Nodes that have two roots when no root is below another: the links must not be cut there."""
+    df = spark.createDataFrame([(4, 1), (4, 3), (5, 3), (5, 2)], "a long, b long")
+    assert {r.node: r.root for r in components(df).collect()} == {n: 1 for n in range(1, 6)}
+    random_ = random.Random(7)
+    links, expected, base = [], {}, 0
+    for size in [5, 6, 8, 10, 30] * 12:
+        numbers = random_.sample(range(base, base + size), size)
+        path = random_.random() < 0.5
+        links += [(numbers[i], numbers[i - 1 if path else random_.randrange(i)]) for i in range(1, size)]
+        expected |= {n: base for n in numbers}
+        base += size
+    random_.shuffle(links)
+    df = spark.createDataFrame(links, "a long, b long")
+    assert {r.node: r.root for r in components(df).collect()} == expected
