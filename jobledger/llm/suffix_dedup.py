@@ -259,7 +259,8 @@ def _removed(batches: Iterator[pa.RecordBatch], length: int, with_text: bool) ->
 
 
 def _by_document(rows: DataFrame, name: str, *columns: str) -> DataFrame:
-    return rows.groupBy("id", "h").agg(F.collect_list(F.struct(*columns)).alias(name))
+    """The runs of each document, each once: rows that repeat id and text give the same in every batch."""
+    return rows.groupBy("id", "h").agg(F.collect_set(F.struct(*columns)).alias(name))
 
 
 def remove_repeats(

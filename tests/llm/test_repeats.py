@@ -86,6 +86,17 @@ def test_ids_missing_and_shared(docs):
     assert suffix_dedup.remove_repeats(docs(rows).limit(0)).collect() == []
 
 
+def test_repeated_rows_over_partitions(docs):
+    """The first occurrence stays where rows that repeat it fall into several batches."""
+    random_ = random.Random(8)
+    one, two, three = ("".join(random_.choice("abcdefgh") for _ in range(400)) for _ in range(3))
+    rows = [(1, one)] * 6 + [(2, two[:200] + one[150:300] + two[200:]), (3, three[:90] + one[170:330] + three[90:])]
+    expected = {i: value for (i, _), value in bytes_by_hand(rows, 100).items()}
+    found = suffix_dedup.remove_repeats(docs(rows)).collect()
+    assert len(found) == len(rows) and expected[1][1] == 0
+    assert [tuple(r)[1:] for r in found] == [expected[r.doc_id] for r in found]
+
+
 def test_sliding_least():
     values = np.random.default_rng(1).integers(0, 9, 60).astype(np.uint64)
     for width in (1, 2, 3, 7, 8, 13, 60):
