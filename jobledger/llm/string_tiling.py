@@ -119,14 +119,18 @@ class Items:
         self.sieve[self.hashes & np.uint64((1 << 22) - 1)] = True
 
     def places(self, words: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, place in the text, words) of every seed that a text shares with an item."""
+        """(text, item, place in the text, words) of every seed that a text shares with an item.
+
+        A text of fewer words than a size is left to the pass of the size that it has.
+        """
+        counts = np.diff(offsets)
         for size in self.sizes:
             runs, ends = W.shingles(words, offsets, size)
             at = np.flatnonzero(self.sieve[runs & np.uint64((1 << 22) - 1)])
             low = np.searchsorted(self.hashes, runs[at], side="left")
             high = np.searchsorted(self.hashes, runs[at], side="right")
             text = np.searchsorted(ends, at, side="right") - 1
-            for k in np.flatnonzero(high > low):
+            for k in np.flatnonzero((high > low) & (counts[text] >= size)):
                 place = int(at[k] - ends[text[k]])
                 for owner in self.owners[low[k] : high[k]]:
                     yield int(text[k]), int(owner), place, size

@@ -153,6 +153,16 @@ def test_contaminated(spark, docs, prose, monkeypatch, block_words):
     assert string_tiling.contaminated(df.limit(0), benchmark).collect() == []
 
 
+def test_a_last_document_that_is_a_short_item(spark, docs, prose):
+    benchmark = spark.createDataFrame([(0, prose(40, 1)), (2, "short one")], "item_id long, text string")
+    rows = [(1, prose(30, 4)), (2, "Short one")]
+    found = string_tiling.contaminated(docs(rows, partitions=1), benchmark).collect()
+    assert [(r.doc_id, r.item_id, r.coverage) for r in found] == [(2, 2, 1.0)]
+    assert [tuple(t) for t in found[0].tiles] == [(0, 0, 2)]
+    found = string_tiling.contaminated(docs([(2, "short one")], partitions=1), benchmark).collect()
+    assert [(r.doc_id, r.item_id) for r in found] == [(2, 2)]
+
+
 def features_by_hand(word, settings):
     """Character n-grams of a word with marks at its ends."""
     grams = [("word", word)]
