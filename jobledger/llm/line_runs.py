@@ -11,6 +11,9 @@ follow each other line by line join to the maximal repeated runs.
 A rank is a hash of its pair and 128 bits long, so ranking needs no global sort, and a line that a
 third of all rows repeat is one key of a partial count. Ranks of whole documents are worked out
 where the document is: only lines that stand more than once anywhere are sent on.
+
+On demand runs of fewer lines count as well, if they have many words or are a whole document. Ranks
+then grow line by line, and each carries the words of its lines.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from pyspark.sql import functions as F
 
 from jobledger.llm.tables import KEY, keyed, same_key, written
 
+_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
 
 def _rank(*values: Column | str) -> Column:
     """128 bits as two numbers."""
@@ -41,12 +46,13 @@ def _doubled(suffixes: DataFrame, offset: int) -> DataFrame:
 
 
 def remove_runs(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = 3
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = 3, words: int | None = None
 ) -> DataFrame:
     """(doc_id, _h, n_lines, n_removed, n_runs, kept_text, runs) of every row.
 
     A line is removed if it is part of ``least`` or more lines in a row that also stand earlier: in a
-    document of smaller id or further up in its own. Lines end at a line feed; lines without any word
+    document of smaller id or further up in its own. With ``words``, fewer lines that stand earlier are
+    removed too if they have more than so many words, or have any and are a whole document. Lines end at a line feed; lines without any word
     count like others. ``runs`` are the maximal removed runs (first line from 0, lines). A null or
     empty text is one empty line and keeps it; ``kept_text`` are the other lines, each as it was.
     Documents without an id come first, those of one id in the order of a hash of the text ``_h``;
@@ -55,8 +61,15 @@ def remove_runs(
     rows = keyed(docs, doc_id, text)
     lines = rows.select(*KEY, F.posexplode(F.split("text", "\n")).alias("line", "value"))
     first = lines.select(*KEY, "line", _rank("value").alias("rank"))
-    copies = _copies(_repeated_lines(first), least)
-    runs = written(_runs(copies, least), "line-runs")
+    if words is None:
+        copies = _copies(_repeated_lines(first), least)
+    else:
+        value = F.regexp_count("value", F.lit(_WORD)).cast("bigint")
+        split = F.split("text", "\n")
+        first = rows.select(*KEY, F.size(split).alias("size"), F.posexplode(split).alias("line", "value"))
+        first = first.select(*KEY, "size", "line", _rank("value").alias("rank"), value.alias("own"))
+        copies = _copies_of_words(_repeated_lines(first), least, words)
+    runs = written(_runs(copies), "line-runs")
     # Always a shuffle of the texts: the runs grow with them, so no size of theirs is one to rely on.
     joined = rows.join(runs.hint("merge"), same_key(rows, runs), "left")
     joined = joined.select(rows["doc_id"], rows["_h"], "text", "runs")
@@ -96,18 +109,46 @@ def _copies(suffixes: DataFrame, least: int) -> DataFrame:
         offset = min(have, least - have)
         suffixes = written(_repeated(_doubled(suffixes, offset)), "line-ranks")
         have += offset
+    return _later(suffixes, least)
+
+
+def _copies_of_words(suffixes: DataFrame, least: int, words: int) -> DataFrame:
+    """The same, and places of fewer lines with more than ``words`` words or of a whole document."""
+    suffixes = suffixes.withColumn("words", F.col("own"))
+    found = []
+    for have in range(1, least):
+        whole = (F.col("line") == 0) & (F.col("size") == have) & (F.col("words") > 0)
+        found.append(_later(suffixes, have, (F.col("words") > words) | whole))
+        row = F.struct("line", "rank", "words")
+        on = F.lead(row, 1).over(Window.partitionBy(*KEY).orderBy("line"))
+        grown = suffixes.withColumn("_on", on).where(F.col("_on.line") == F.col("line") + 1)
+        grown = grown.select(
+            *KEY, "size", "line", "own",
+            _rank("rank.a", "rank.b", "_on.rank.a", "_on.rank.b").alias("rank"),
+            (F.col("own") + F.col("_on.words")).alias("words"),
+        )
+        suffixes = written(_repeated(grown), "line-ranks")
+    copies = _later(suffixes, least)
+    for short in found:
+        copies = copies.unionByName(short)
+    return copies
+
+
+def _later(suffixes: DataFrame, lines: int, wanted: Column | str = "true") -> DataFrame:
+    """(key, line, lines) of the ``wanted`` places of each rank, but for its first one."""
     originals = suffixes.groupBy("rank").agg(F.min(F.struct(*KEY, "line")).alias("least"))
     return suffixes.join(originals, "rank").where(
         F.struct(*KEY, "line") != F.col("least")
-    ).select(*KEY, "line")
+    ).where(wanted).select(*KEY, "line", F.lit(lines).alias("lines"))
 
 
-def _runs(copies: DataFrame, least: int) -> DataFrame:
+def _runs(copies: DataFrame) -> DataFrame:
     """(key, runs) of the documents that have any: copies joined where they meet or overlap."""
     by_line = Window.partitionBy(*KEY).orderBy("line")
-    before = F.lag("line").over(by_line)
-    copies = copies.withColumn("_new", (before.isNull() | (before + least < F.col("line"))).cast("int"))
+    copies = copies.withColumn("end", F.col("line") + F.col("lines"))
+    reach = F.max("end").over(by_line.rowsBetween(Window.unboundedPreceding, -1))
+    copies = copies.withColumn("_new", (reach.isNull() | (reach < F.col("line"))).cast("int"))
     copies = copies.withColumn("_run", F.sum("_new").over(by_line))
-    runs = copies.groupBy(*KEY, "_run").agg(F.min("line").alias("first"), F.max("line").alias("last"))
-    run = F.struct("first", (F.col("last") - F.col("first") + least).alias("lines"))
+    runs = copies.groupBy(*KEY, "_run").agg(F.min("line").alias("first"), F.max("end").alias("end"))
+    run = F.struct("first", (F.col("end") - F.col("first")).alias("lines"))
     return runs.groupBy(*KEY).agg(F.array_sort(F.collect_list(run)).alias("runs"))

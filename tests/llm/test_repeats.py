@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -121,3 +122,33 @@ def test_removed_lines(docs, least):
         assert (row.n_lines, row.n_removed, row.n_runs, row.kept_text) == expected[row.doc_id]
         assert sum(run.lines for run in row.runs) == row.n_removed
     assert line_runs.remove_runs(docs(rows).limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("least", [1, 3, 5])
+def test_removed_short_runs_of_many_words(docs, least):
+    random_ = random.Random(least)
+    lines = ["a", "", "b c", "D-e f", "g h i j"]
+    rows = [(i, "\n".join(random_.choice(lines) for _ in range(random_.randrange(1, 9)))) for i in range(90)]
+    rows += [(200, None), (201, ""), (202, "one of its own"), (203, "one of its own"), (203, "one of its own")]
+    rows += [(204, "x\n" + "w " * 60), (205, "w " * 60 + "\ny"), (206, "p\nlast of all"), (207, "last of all")]
+    seen, expected = set(), {}
+    for i, text in ordered(rows):
+        units = text.split("\n")
+        marks = [False] * len(units)
+        for size in range(1, least + 1):
+            for at in range(len(units) - size + 1):
+                run = tuple(units[at : at + size])
+                words = len(re.findall("[a-z]+", " ".join(run).lower()))
+                enough = size == least or words > 5 or (size == len(units) and words > 0)
+                if run in seen and enough:
+                    marks[at : at + size] = [True] * size
+                seen.add(run)
+        kept = "\n".join(line for line, m in zip(units, marks) if not m)
+        expected[i] = (len(units), sum(marks), spans(marks), kept)
+    found = line_runs.remove_runs(docs(rows), least=least, words=5).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        assert (row.n_lines, row.n_removed, row.n_runs, row.kept_text) == expected[row.doc_id]
+    if least == 3:
+        left = {row.doc_id: row.kept_text for row in found}
+        assert (left[203], left[205], left[207]) == ("", "y", "")
