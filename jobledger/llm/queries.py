@@ -18,6 +18,7 @@ from jobledger.llm import (
     license_scan,
     line_runs,
     plane_files,
+    quality_rules,
     string_tiling,
     subwords,
     suffix_dedup,
@@ -204,3 +205,10 @@ def op3_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = F.md5(F.col("kept_text").cast("binary")).alias("kept_md5")
     found = line_runs.remove_runs(documents(spark, sf_dir))
     return found.select("doc_id", "n_lines", "n_removed", "n_runs", kept)
+
+
+@query(quality_rules.sql())
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules, and cutoffs that labelled documents certify for each language."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_rules.quality_rules(documents(spark, sf_dir), labels)
