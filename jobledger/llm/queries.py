@@ -19,6 +19,7 @@ from jobledger.llm import (
     line_runs,
     plane_files,
     quality_rules,
+    spelling_variants,
     string_tiling,
     subwords,
     suffix_dedup,
@@ -212,3 +213,9 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules, and cutoffs that labelled documents certify for each language."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_rules.quality_rules(documents(spark, sf_dir), labels)
+
+
+@query(spelling_variants.sql())
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with its form; one in 97 words of a document first loses a letter."""
+    return spelling_variants.spelling_variants(documents(spark, sf_dir), slip_every=97)
