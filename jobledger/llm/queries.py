@@ -18,13 +18,14 @@ from jobledger.llm import (
     license_scan,
     line_runs,
     plane_files,
+    prefix_trie,
     quality_rules,
     spelling_variants,
     string_tiling,
     subwords,
     suffix_dedup,
 )
-from jobledger.llm.tables import lower_ascii
+from jobledger.llm.tables import lower_ascii, written
 from jobledger.plans.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,3 +220,34 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word with its form; one in 97 words of a document first loses a letter."""
     return spelling_variants.spelling_variants(documents(spark, sf_dir), slip_every=97)
+
+
+_TRIE = f"""WITH {spelling_variants.CRC_TABLE},
+turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+whole AS (SELECT conv_id, list(struct_pack(role, text) ORDER BY pos) AS own FROM turns GROUP BY conv_id),
+hashed AS (SELECT conv_id, own, CAST({spelling_variants.crc_sql("CAST(conv_id AS VARCHAR)")} % 6 AS BIGINT) AS h
+    FROM whole CROSS JOIN crc_table),
+rebuilt AS (SELECT c.conv_id, CASE WHEN t.own IS NULL OR h = 0 THEN [] ELSE t.own[1:h] END || c.own[h + 1:] AS seq
+    FROM hashed c LEFT JOIN whole t ON t.conv_id = c.conv_id - c.conv_id % 100),
+prefixes AS (SELECT conv_id, d, CASE WHEN d = 0 THEN [] ELSE seq[1:d] END AS seq, d = len(seq) AS ends
+    FROM (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT seq, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, CASE WHEN d = 0 THEN 0 ELSE length(seq[d].text) END AS chars,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY seq, d),
+children AS (SELECT CASE WHEN depth = 1 THEN [] ELSE seq[1:depth - 1] END AS seq, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+below AS (SELECT CASE WHEN d = 0 THEN [] ELSE seq[1:d] END AS seq, sum((n_convs - 1) * chars) AS saved, count(*) FILTER (leaf) AS n_leaves
+    FROM (SELECT nodes.*, c.n IS NULL AS leaf, unnest(range(depth + 1)) AS d FROM nodes LEFT JOIN children c ON c.seq = nodes.seq) GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, b.n_leaves,
+    CAST(b.saved AS BIGINT) AS saved_tokens, n.ends_sha256 FROM nodes n JOIN below b ON b.seq = n.seq
+    LEFT JOIN children c ON c.seq = n.seq LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1
+    AND p.seq = CASE WHEN n.depth = 1 THEN [] ELSE n.seq[1:n.depth - 1] END"""
+
+
+@query(_TRIE)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefixes of conversations that were first made to share some."""
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    turns = written(prefix_trie.placed_turns(conversations), "trie-placed")
+    return prefix_trie.prefix_trie(turns.select("conv_id").distinct(), prefix_trie.grafted(turns))
