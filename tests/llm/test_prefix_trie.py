@@ -1,0 +1,139 @@
+"""The trie of conversations against one that is built turn by turn."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from jobledger.llm import prefix_trie as pt
+from jobledger.llm.tables import written
+
+SCHEMA = "conv_id long, turn long, role string, text string, n_convs string, digest int, k int"
+
+
+@pytest.fixture
+def turns(spark):
+    def make(rows, partitions=3):
+        return spark.createDataFrame([(*row, "x", 1, 2) for row in rows], SCHEMA).repartition(partitions)
+
+    return make
+
+
+def sequences(rows, graft=True):
+    """The conversations as lists of (role, text)."""
+    whole = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            whole[conv].append((turn is not None, turn or 0, digest, role, text))
+    whole = {conv: [turn[3:] for turn in sorted(found)] for conv, found in whole.items()}
+    if not graft:
+        return whole
+    made = {}
+    for conv, own in whole.items():
+        h = zlib.crc32(str(conv).encode()) % 6
+        head = whole.get(conv - (abs(conv) % 100) * (1 if conv >= 0 else -1), [])
+        made[conv] = head[:h] + own[h:]
+    return made
+
+
+def expected(convs):
+    members = defaultdict(list)
+    for conv, seq in convs.items():
+        for d in range(len(seq) + 1):
+            members[tuple(seq[:d])].append(conv)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    rows, below = [], {}
+    for node in sorted(members, key=len, reverse=True):
+        own = (len(members[node]) - 1) * len(node[-1][1]) if node else 0
+        leaves = sum(below[c][0] for c in children[node]) if children[node] else 1
+        below[node] = leaves, own + sum(below[c][1] for c in children[node])
+        ends = ",".join(map(str, sorted(c for c in members[node] if len(convs[c]) == len(node))))
+        rows.append((
+            min(members[node]), len(node), min(members[node[:-1]]) if node else None, len(members[node]),
+            len(children[node]), *below[node], hashlib.sha256(ends.encode()).hexdigest(),
+        ))
+    return sorted(rows, key=str)
+
+
+def found(table, graft=True, block=pt.BLOCK):
+    placed = written(pt.placed_turns(table), "test-placed")
+    made = pt.grafted(placed) if graft else placed
+    trie = pt.prefix_trie(placed.select("conv_id").distinct(), made, block)
+    return sorted((tuple(row) for row in trie.collect()), key=str)
+
+
+def random_rows(seed, convs, most=9, words=3):
+    random_ = random.Random(seed)
+    rows = []
+    for conv in convs:
+        for turn in range(random_.randrange(1, most)):
+            rows.append((conv, turn, random_.choice(("user", "bot")) if turn > 5 else "user", "ab" * random_.randrange(words)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [1, 3, 4])
+def test_against_a_trie(turns, block):
+    rows = random_rows(block, range(60))
+    assert found(turns(rows), False, block) == expected(sequences(rows, False))
+
+
+def test_grafted_against_a_trie(turns):
+    rows = random_rows(5, [*range(95, 130), *range(200, 230), -205, -200, -3, 0, 7])
+    assert found(turns(rows)) == expected(sequences(rows))
+
+
+def test_nulls_ties_repeats_and_missing_heads(turns):
+    rows = [(1, None, None, None), (1, 0, "u", "a"), (1, 0, "u", "a"), (1, 0, "u", "b"), (1, 0, "ua", ""), (None, 1, "u", "x"),
+            (2, None, "", ""), (2, 3, "u", "é" * 5), (500, 1, "u", "head"), (501, 1, "u", "own"), (742, 0, "u", "gone")]
+    assert found(turns(rows)) == expected(sequences(rows))
+    assert found(turns(rows), False) == expected(sequences(rows, False))
+    assert found(turns([(None, 1, "u", "x")])) == []
+    assert found(turns(rows).limit(0)) == []
+
+
+def test_members_without_turns_end_at_the_root(spark, turns):
+    placed = written(pt.placed_turns(turns([(1, 0, "u", "a")])), "test-placed")
+    members = spark.createDataFrame([(1,), (2,), (10,)], "conv_id long")
+    root = [row for row in pt.prefix_trie(members, placed).collect() if row.depth == 0]
+    assert [(r.n_convs, r.n_children, r.n_leaves, r.ends_sha256) for r in root] == [
+        (3, 1, 1, hashlib.sha256(b"2,10").hexdigest())
+    ]
+
+
+def test_one_conversation_with_most_turns_is_numbered_in_ranges(spark, turns, monkeypatch):
+    # 6,000 turns in one conversation, 300 of them the same row; ranges of a few hundred rows.
+    rows = [(7, t, "u", f"t{t}") for t in range(5700)] + [(7, 99, "u", "again")] * 300 + random_rows(2, range(20, 30))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = written(pt.placed_turns(turns(rows, 8)), "test-placed")
+        assert found(turns(rows, 8), False) == expected_sums(sequences(rows, False))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = [row.pos for row in placed.where("conv_id = 7").orderBy("pos").collect()]
+    assert got == list(range(1, 6001))
+
+
+def expected_sums(convs):
+    """As ``expected``, for long conversations that share no turn."""
+    assert len({tuple(seq[:1]) for seq in convs.values() if len(seq) > 100}) == 1
+    long = {conv: seq for conv, seq in convs.items() if len(seq) > 100}
+    rows = expected({conv: seq for conv, seq in convs.items() if conv not in long})
+    empty = hashlib.sha256().hexdigest()
+    root = next(row for row in rows if row[1] == 0)
+    rows.remove(root)
+    n = root[3] + len(long)
+    rows = [(*row[:2], min(convs) if row[1] == 1 else row[2], *row[3:]) for row in rows]
+    rows.append((min(convs), 0, None, n, root[4] + len(long), root[5] + len(long), root[6], root[7]))
+    for conv, seq in long.items():
+        for d in range(1, len(seq) + 1):
+            last = d == len(seq)
+            ends = hashlib.sha256(str(conv).encode()).hexdigest() if last else empty
+            rows.append((conv, d, conv if d > 1 else min(convs), 1, 0 if last else 1, 1, 0, ends))
+    return sorted(rows, key=str)
