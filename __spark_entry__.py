@@ -837,7 +837,8 @@ def stuck_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R3"""
     polls = stream(spark, event_polls(table(spark, sf_dir, "events")), "timed-polls")
     waited = (F.col("waited") * 1_000_000).cast("bigint").alias("waited_us")
-    return follow.stuck_jobs(polls, fresh_dir(spark, "stuck")).select("batch_id", waited)
+    found = follow.stuck_jobs(polls, fresh_dir(spark, "stuck")).where("NOT silent")
+    return found.select("batch_id", waited)
 
 
 # --- Contract ---------------------------------------------------------------------------------

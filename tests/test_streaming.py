@@ -1,12 +1,15 @@
 """Streams in several micro-batches against the batch forms and against one job at a time."""
 
 import datetime
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobledger.operators import logs as ops
-from jobledger.streaming import follow
+from jobledger.streaming import follow, sinks
 from test_logs import follow as one_job_at_a_time
 from test_logs import random_polls
 
@@ -24,6 +27,14 @@ def with_extras(polls):
     ]
 
 
+@pytest.fixture(autouse=True)
+def few_state_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture
 def polls(spark, tmp_path):
     """``polls(data, cuts)``: the rows as a stream with a micro-batch per range of poll_seq."""
@@ -97,21 +108,112 @@ def test_follow_prints_each_line_once_in_place(spark, polls, tmp_path):
     assert rows_of(found) == rows_of(batch)
 
 
+def test_any_order_of_arrival(spark, polls, tmp_path):
+    """Polls dealt to micro-batches at random: ends and first places move as earlier ones arrive."""
+    data = with_extras(random_polls(11, hot=30))
+    shuffled = random.Random(1).sample(data, len(data))
+    folder = str(tmp_path / "polls")
+    for part in range(4):
+        rows = shuffled[part::4]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+
+    def stream():
+        return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+
+    whole = spark.createDataFrame(data, SCHEMA)
+    kept = ops.until_terminal(whole)
+    assert rows_of(follow.follow_until_terminal(stream(), str(tmp_path / "a"))) == rows_of(kept)
+    assert rows_of(follow.follow_stream(stream(), str(tmp_path / "b"))) == rows_of(ops.first_seen_lines(kept))
+
+
+def test_state_is_a_row_a_job_that_is_over(spark, polls, tmp_path):
+    data = with_extras([(job, seq, "dead" if seq > 3 and job < 5 else "running", 0, ["x"]) for job in range(8) for seq in range(7)])
+    progress = sinks.drain(follow.job_ends(polls(data, (1, 3, 5))), str(tmp_path / "ends"))
+    # Active polls do not get past the scan.
+    assert [p["numInputRows"] for p in progress][-2:] == [16, 8]
+    assert [p["stateOperators"][0]["numRowsTotal"] for p in progress] == [0, 0, 5, 5]
+    found = sinks.state_rows(spark, str(tmp_path / "ends"), T.StructType.fromDDL("batch_id long, over long"), "end")
+    assert sorted(map(tuple, found.collect())) == [(job, 4) for job in range(5)]
+
+
+def test_lines_touch_only_the_keys_of_a_micro_batch(spark, tmp_path):
+    """The hundredth micro-batch: as many rows read and updated as the second, whatever was printed."""
+    folder, schema = str(tmp_path / "in"), "batch_id long, poll_seq long, state string, lines array<string>"
+    for i in range(12):
+        spark.createDataFrame([(1, i, "running", ["again", f"line {i}"])], schema).coalesce(1).write.mode("append").json(folder)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(folder)
+    progress = sinks.drain(follow.first_places(stream), str(tmp_path / "lines"), mode="update")
+    states = [p["stateOperators"][0] for p in progress]
+    assert [s["numRowsTotal"] for s in states] == [2 + i for i in range(12)]
+    assert all(s["numRowsUpdated"] == 2 for s in states) and all(p["numInputRows"] == 1 for p in progress)
+    assert [len(p["sources"]) for p in progress] == [1] * 12
+    plan = follow.first_places(stream)._jdf.queryExecution().logical().toString()
+    assert plan.count("StreamingRelation") == 1 and "Join" not in plan
+
+
+def test_new_lines_come_out_once_and_a_horizon_forgets_them(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    schema = "batch_id long, poll_seq long, ts timestamp_ntz, lines array<string>"
+    times = [0, 10, 200, 210, 400, 410]
+    for i, seconds in enumerate(times):
+        at = START + datetime.timedelta(seconds=seconds)
+        line = "late" if i == 5 else "same"
+        spark.createDataFrame([(1, i, at, [line])], schema).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+    def run(label, **how):
+        out = str(tmp_path / label)
+        progress = sinks.drain(follow.new_lines(stream, **how), out, table=True)
+        rows = spark.read.parquet(f"{out}/table").collect()
+        held = [p["stateOperators"][0]["numRowsTotal"] for p in progress]
+        return sorted((row.poll_seq, row.line) for row in rows), held
+
+    assert run("whole") == ([(0, "same"), (5, "late")], [1, 1, 1, 1, 1, 2])
+    lines, held = run("bounded", at="ts", horizon="60 seconds")
+    # The micro-batch at 200 s moves the watermark past the line, the one after it drops the line.
+    assert lines == [(0, "same"), (4, "same"), (5, "late")] and held[3] == 0
+    with pytest.raises(ValueError):
+        follow.new_lines(stream, horizon="60 seconds")
+
+
 def test_stuck_jobs_equal_outcome(spark, polls, tmp_path):
     data = with_extras(random_polls(8, hot=10))
-    waited = {r.batch_id: r.waited for r in follow.stuck_jobs(polls(data), str(tmp_path / "out")).collect()}
+    found = follow.stuck_jobs(polls(data), str(tmp_path / "out")).where("NOT silent").collect()
     batch = ops.poll_outcome(ops.until_terminal(spark.createDataFrame(data, SCHEMA)))
-    assert set(waited) == {row.batch_id for row in batch.collect() if row.timed_out}
-    assert all(seconds > 60 for seconds in waited.values()) and waited
-
-
-def test_a_silent_job_is_stuck_as_time_goes_on(polls, tmp_path):
-    data = with_extras([(1, 0, "running", 0, []), (2, 0, "running", 0, []), (2, 1, "success", 0, [])])
-    now = F.lit(START + datetime.timedelta(minutes=5)).cast("timestamp_ntz")
-    stuck = lambda label, **how: [
-        row.batch_id for row in follow.stuck_jobs(polls(data), str(tmp_path / label), **how).collect()
-    ]
-    assert stuck("a") == [] and stuck("b", as_of=now) == [1]
+    whole = {row.batch_id for row in batch.collect() if row.timed_out and row.batch_id is not None}
+    waited = {row.batch_id: row.waited for row in found}
+    assert set(waited) == whole and waited and all(seconds > 60 for seconds in waited.values())
+    assert len(found) == len(waited)
+
+
+def test_a_silent_job_is_told_of_by_the_clock(spark, polls, tmp_path):
+    data = with_extras([(1, 0, "running", 0, []), (2, 0, "running", 0, []), (2, 1, "success", 0, []), (2, 2, "running", 0, [])])
+    stream, out = polls(data, (0,)), str(tmp_path / "out")
+    assert follow.stuck_jobs(stream, out, timeout=30).where("silent").count() == 0
+    # Nothing new but time: what ran is held in full, what is over only by its end.
+    whole = sinks.state_rows(spark, out, T.StructType.fromDDL("batch_id long, first long, active long, told long, since long"), "watch")
+    assert [row.batch_id for row in whole.collect()] == [1]
+    short = str(tmp_path / "short")
+    follow.stuck_jobs(stream, short, timeout=1)
+    time.sleep(2)
+    found = follow.stuck_jobs(stream, short, timeout=1).collect()
+    assert [row.batch_id for row in found if row.silent] == [1]
+
+
+def test_a_watched_job_is_told_of_while_the_query_runs(spark, polls, tmp_path):
+    data = with_extras([(1, 0, "running", 0, []), (2, 0, "success", 0, [])])
+    out = str(tmp_path / "out")
+    query = sinks.start(follow.watched(polls(data), timeout=1), out, table=True, processingTime="500 milliseconds")
+    schema = T.StructType.fromDDL("batch_id long, waited long, silent boolean")
+    try:
+        for _ in range(60):
+            found = sinks.sink_rows(spark, out, schema).collect()
+            if found:
+                break
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert [(row.batch_id, row.silent) for row in found] == [(1, True)] and found[0].waited >= 1_000_000
 
 
 def test_a_run_goes_on_from_its_checkpoint(spark, tmp_path):
