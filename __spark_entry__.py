@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from jobledger.functions import artifacts, logs, text
 from jobledger.operators import logs as polls_ops
 from jobledger.operators import overlay as overlay_ops
+from jobledger.operators import pages as page_ops
 from jobledger.operators import records as record_ops
 from jobledger.operators import requests as request_ops
 from jobledger.operators import sampling
@@ -333,26 +334,26 @@ def paged(start: int, size: int | None, key: str = "id", rows: str = JOBS) -> st
 @query(paged(100, 50))
 def page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1"""
-    return record_ops.page(jobs(spark, sf_dir), 100, 50).select("id", "state", "rank", "from", "total")
+    return page_ops.page(jobs(spark, sf_dir), 100, 50).select("id", "state", "rank", "from", "total")
 
 
 @query(paged(14_000, 700))
 def page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1: a page far from the front."""
-    return record_ops.page(jobs(spark, sf_dir), 14_000, 700).select("id", "state", "rank", "from", "total")
+    return page_ops.page(jobs(spark, sf_dir), 14_000, 700).select("id", "state", "rank", "from", "total")
 
 
 @query(paged(1000, None))
 def page_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1: all rows behind an offset."""
-    return record_ops.page(jobs(spark, sf_dir), 1000, 0).select("id", "state", "rank", "from", "total")
+    return page_ops.page(jobs(spark, sf_dir), 1000, 0).select("id", "state", "rank", "from", "total")
 
 
 @query(paged(500, 250, "job", f"(SELECT 'job ' || id AS job, state FROM {JOBS})"))
 def page_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1: keys that are texts."""
     named = jobs(spark, sf_dir).withColumn("job", F.concat(F.lit("job "), "id"))
-    found = record_ops.page(named, 500, 250, key="job")
+    found = page_ops.page(named, 500, 250, key="job")
     return found.select("job", "state", "rank", "from", "total")
 
 

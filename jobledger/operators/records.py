@@ -1,4 +1,4 @@
-"""Operators on job records: look up, page, compare, find name collisions, drop removed jobs."""
+"""Operators on job records: look up, compare, find name collisions, drop removed jobs."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobledger.plans.session import fresh_dir
 from jobledger.plans.skew import lookup_join
 from jobledger.schemas import ACTIVE_STATES
 
@@ -67,53 +66,6 @@ def drop_removed(records: DataFrame, removed: DataFrame, key: str = "id") -> Dat
     return records.join(removed.select(key).distinct(), key, "left_anti")
 
 
-def page(
-    records: DataFrame, start: int | None = None, size: int | None = None, key: str = "id"
-) -> DataFrame:
-    """The rows ``start`` .. ``start+size`` in key order, with columns ``rank``, ``from``, ``total``.
-
-    ``rank`` counts from 0 in ascending order of the key, a missing key first; sort by it to see the
-    page in order. Rows of one key are in the order of a hash of their plain columns. 0 and ``None``
-    both mean the default: from the first row, all rows. The key is of any type that sorts.
-
-    Only keys and hashes are counted, dealt into ranges, and summed up range by range; the table of
-    them is written to the shared folder once. The records are then joined to the keys of the page.
-    """
-    start, size = start or 0, size or None
-    plain = [f.name for f in records.schema if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    rows = records.withColumn("_tie", F.xxhash64(*plain))
-    spots = rows.groupBy(F.col(key).alias("_key"), "_tie").agg(F.count(F.lit(1)).alias("_n"))
-    spots = spots.repartitionByRange("_key", "_tie").withColumn("_slab", F.spark_partition_id())
-    path = fresh_dir(records.sparkSession, "page")
-    spots.write.parquet(path)
-    spots = records.sparkSession.read.schema(spots.schema).parquet(path)
-
-    slabs = spots.groupBy("_slab").agg(F.sum("_n").alias("_in"))
-    earlier = Window.orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)  # a row a slab
-    slabs = slabs.withColumn("_before", F.coalesce(F.sum("_in").over(earlier), F.lit(0)))
-
-    def on_page(first: str, count: str) -> Column:
-        inside = F.col(first) + F.col(count) > start
-        return inside if size is None else inside & (F.col(first) < start + size)
-
-    slabs = slabs.where(on_page("_before", "_in")).select("_slab", "_before")
-    within = Window.partitionBy("_slab").orderBy("_key", "_tie")
-    first = F.col("_before") + F.sum("_n").over(within) - F.col("_n")
-    hits = spots.join(slabs, "_slab").withColumn("_first", first).where(on_page("_first", "_n"))
-    hits = hits.select("_key", F.col("_tie").alias("_hit"), "_first", "_n")
-    found = rows.join(hits, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_tie") == F.col("_hit")))
-    # Rows that share a key and a hash are numbered on; all others are alone.
-    again = F.row_number().over(Window.partitionBy("_first").orderBy("_tie")) - 1
-    rank = F.when(F.col("_n") > 1, again).otherwise(0) + F.col("_first")
-    inside = F.col("rank") >= start
-    if size is not None:
-        inside &= F.col("rank") < start + size
-    total = records.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return found.withColumn("rank", rank).where(inside).select(
-        *records.columns, "rank", F.lit(start).cast("bigint").alias("from"), total.alias("total")
-    )
-
-
 def name_collisions(
     new: DataFrame, known: DataFrame, order: str = "id", hot_keys: int | None = None
 ) -> DataFrame:

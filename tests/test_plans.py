@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobledger.operators import logs as log_ops
+from jobledger.operators import pages
 from jobledger.operators import records as record_ops
 from jobledger.plans import skew
 from jobledger.plans.skew import lookup_join, with_key_minimum
@@ -176,7 +177,7 @@ def test_lookup_filters_records_before_they_shuffle(spark, plan, tmp_path):
 
 def test_page_sorts_no_wide_row(spark, plan, hot):
     wide = hot.selectExpr("seq AS id", "array(string(job)) AS log")
-    shown = plan(record_ops.page(wide, 10, 5))
+    shown = plan(pages.page(wide, 10, 5))
     sorts = [part for part in shown.split("\n\n") if re.match(r"\(\d+\) (Sort|Window)\b", part)]
     assert "Exchange SinglePartition" not in shown or len(sorts) >= 1
     assert "TakeOrderedAndProject" not in shown

@@ -1,5 +1,6 @@
 import pytest
 
+from jobledger.operators import pages
 from jobledger.operators import records as ops
 from jobledger.schemas import JOB_RECORD
 from jobledger.sources.records import job_listing, job_records, record_table
@@ -79,12 +80,12 @@ def in_order(page, key="id"):
 
 def test_page_defaults_and_limits(jobs):
     known = jobs(*[job(i) for i in (5, 3, 9, 1)])
-    assert in_order(ops.page(known, 1, 2)) == [(1, 3), (2, 5)]
-    assert in_order(ops.page(known, 0, 0)) == in_order(ops.page(known)) == [(0, 1), (1, 3), (2, 5), (3, 9)]
-    assert in_order(ops.page(known, 3)) == [(3, 9)]
-    assert in_order(ops.page(known, 4, 2)) == []
-    assert in_order(ops.page(known.limit(0))) == []
-    row = ops.page(known, 1, 2).first()
+    assert in_order(pages.page(known, 1, 2)) == [(1, 3), (2, 5)]
+    assert in_order(pages.page(known, 0, 0)) == in_order(pages.page(known)) == [(0, 1), (1, 3), (2, 5), (3, 9)]
+    assert in_order(pages.page(known, 3)) == [(3, 9)]
+    assert in_order(pages.page(known, 4, 2)) == []
+    assert in_order(pages.page(known.limit(0))) == []
+    row = pages.page(known, 1, 2).first()
     assert (row["from"], row.total) == (1, 4)
 
 
@@ -96,7 +97,7 @@ def test_page_equals_sorted_slice(rows, kind, start, size):
     df = rows([(k, "same") for k in keys], f"id {kind}, name string").repartition(5)
     order = sorted(keys, key=lambda k: (k is not None, k if k is not None else 0))
     end = None if size is None else start + size
-    assert in_order(ops.page(df, start, size)) == list(enumerate(order))[start:end]
+    assert in_order(pages.page(df, start, size)) == list(enumerate(order))[start:end]
 
 
 @pytest.mark.parametrize("hot_keys", [None, 100])
