@@ -20,9 +20,9 @@ from jobledger.operators import requests as request_ops
 from jobledger.operators import sampling
 from jobledger.plans.session import fresh_dir
 from jobledger.schemas import STDERR_MARKER
-from jobledger.sources import configs, staging
+from jobledger.sources import configs, snapshots, staging
 from jobledger.sources import records as record_sources
-from jobledger.streaming import follow
+from jobledger.streaming import follow, listings
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -143,6 +143,30 @@ def joined(lines: Column) -> Column:
     FROM {JOBS}""")
 def job_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two listings stored as JSON replies; the later and shorter one has the even ids, further up."""
+    path = fresh_dir(spark, "listing")
+    second, first = _listings(spark, sf_dir)
+    second.unionByName(first).write.json(path)
+    return _listed(record_sources.job_records(spark, path, arrival="snapshot"))
+
+
+@query(_ORACLE["job_records"])
+def job_records_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same listings as a stream, the later one first, into a table of the latest records."""
+    path = fresh_dir(spark, "listing")
+    for listing in _listings(spark, sf_dir):
+        listing.coalesce(1).write.mode("append").json(path)
+    stream = record_sources.job_listing(spark, path, arrival="snapshot", stream=True, files_per_trigger=1)
+    return _listed(listings.latest_listing(stream, fresh_dir(spark, "latest"), 8))
+
+
+def _listed(records: DataFrame) -> DataFrame:
+    return records.select(
+        "id", "name", "appId", F.col("appInfo.sparkUiUrl").alias("ui"), "state", "arrival", "listing_pos"
+    )
+
+
+def _listings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The replies of two listings, the later one first."""
     first = jobs(spark, sf_dir)
     second = first.where("id % 2 = 0").withColumn("state", F.lit("dead"))
 
@@ -157,11 +181,7 @@ def job_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             "sessions",
         )
 
-    path = fresh_dir(spark, "listing")
-    replies(second, 1).unionByName(replies(first, 0)).write.json(path)
-    return record_sources.job_records(spark, path, arrival="snapshot").select(
-        "id", "name", "appId", F.col("appInfo.sparkUiUrl").alias("ui"), "state", "arrival", "listing_pos"
-    )
+    return replies(second, 1), replies(first, 0)
 
 
 CONFIG_STATUS = """CASE WHEN event_id % 11 = 10 THEN 'malformed' WHEN event_id % 4 = 0 THEN 'no_credentials'
@@ -225,6 +245,14 @@ def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", "found", "state", "name", F.col("appInfo.sparkUiUrl").alias("ui"))
 
 
+@query(_ORACLE["lookup"])
+def lookup_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids whose number Spark does not know, by a Bloom filter."""
+    ids = table(spark, sf_dir, "part").select((F.col("p_partkey") * 10).alias("id"))
+    found = record_ops.lookup(jobs(spark, sf_dir), ids, bloom=True)
+    return found.select("id", "found", "state", "name", F.col("appInfo.sparkUiUrl").alias("ui"))
+
+
 @query(f"SELECT id, state FROM {JOBS}")
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2"""
@@ -314,13 +342,28 @@ def known_ids_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
         ELSE 'changed' END AS change FROM a FULL JOIN b ON a.id = b.id""")
 def compare_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3"""
+    return record_ops.compare_snapshots(*_snapshots(spark, sf_dir))
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     orders = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS id", "string(nullif(o_custkey % 5, 0)) AS name", "string(null) AS appId",
         "named_struct('driverLogUrl', string(null), 'sparkUiUrl', string(null)) AS appInfo",
         "o_orderstatus AS state",
     )
     later = orders.withColumn("state", F.expr("CASE WHEN id % 7 = 0 THEN 'F' ELSE state END"))
-    return record_ops.compare_snapshots(orders.where("id % 10 <> 0"), later.where("id % 10 <> 1"))
+    return orders.where("id % 10 <> 0"), later.where("id % 10 <> 1")
+
+
+@query(_ORACLE["compare_snapshots"])
+def compare_stored_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 on tables bucketed by id, which are joined bucket by bucket."""
+    before, after = _snapshots(spark, sf_dir)
+    run = fresh_dir(spark, "x")[-32:]
+    stored = [
+        snapshots.write_snapshot(records, f"{name}_{run}", 8) for name, records in (("before", before), ("after", after))
+    ]
+    return record_ops.compare_snapshots(*stored)
 
 
 def paged(start: int, size: int | None, key: str = "id", rows: str = JOBS) -> str:
@@ -751,13 +794,19 @@ def mc_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.mc_ratio(points).withColumn("ratio", F.round("ratio", 9))
 
 
-@query("SELECT 3 AS parts, true AS any_worker, count(*) > 0 AS any_event FROM events")
+@query("SELECT 3 AS parts, count(*)::BIGINT AS elements, true AS every_slice, true AS few FROM events")
 def worker_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A2: the lines name machines, so what is compared is their number of parts and that there are any."""
+    """A2: the lines name machines, so what is compared is how many elements they have seen in all
+    and that the slices, run at once, were all seen by no more workers than there are slices."""
+    slots = spark.sparkContext.defaultParallelism
     events = table(spark, sf_dir, "events").select("event_id")
-    parts = F.size(F.split("info", ","))
-    found = sampling.worker_inventory(events).agg(F.max(parts).alias("parts"), F.count(F.lit(1)).alias("n"))
-    return found.select("parts", (F.col("n") > 0).alias("any_worker"), (F.col("n") > 0).alias("any_event"))
+    found = sampling.worker_inventory(events, slices=slots, together=True)
+    return found.agg(
+        F.max(F.size(F.split("info", ","))).alias("parts"),
+        F.sum("elements").alias("elements"),
+        (F.sum("slices") == slots).alias("every_slice"),
+        (F.count(F.lit(1)) <= slots).alias("few"),
+    )
 
 
 @query("SELECT count(*)::BIGINT AS elements, 0 AS incomplete FROM events")

@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobledger.plans.bloom import maybe_among
 from jobledger.plans.skew import lookup_join
 from jobledger.schemas import ACTIVE_STATES
 
 # Fields that decide whether a record changed; the log does not.
 COMPARED = ("name", "appId", "appInfo", "state")
+# Distinct keys of a listing up to which it is broadcast.
+FEW = 50_000
 
 
 def is_active(state: Column | str = "state") -> Column:
@@ -34,15 +37,20 @@ def latest_records(records: DataFrame, arrival: str | Sequence[str], key: str =
     )
 
 
-def lookup(records: DataFrame, ids: DataFrame, key: str = "id", strict: bool = False) -> DataFrame:
+def lookup(
+    records: DataFrame, ids: DataFrame, key: str = "id", strict: bool = False, bloom: bool = False
+) -> DataFrame:
     """The record of every distinct id asked for, with ``found``; ``strict`` raises on an unknown id.
 
     The records are first cut down to the ids, so only hits are shuffled. Where Spark knows the ids
-    to be few, as it does for a table, that is a filter at the scan of the records; ids of unknown
-    size cost a shuffle of the records, so let them come from a table.
+    to be few, as it does for a table, that is a filter at the scan of the records. For ids of
+    unknown size, such as the result of a query, ``bloom`` counts them and puts a Bloom filter of
+    theirs there instead, so that hardly more than the hits reach a shuffle.
     """
     asked = ids.select(key).distinct()
-    hits = records.join(asked, key, "left_semi").withColumn("found", F.lit(True))
+    # A row that only the Bloom filter takes for a hit matches none of the ids below.
+    hits = maybe_among(records, asked, key) if bloom else records.join(asked, key, "left_semi")
+    hits = hits.withColumn("found", F.lit(True))
     answers = asked.join(hits, key, "left")
     found = F.coalesce("found", F.lit(False))
     if strict:
@@ -104,13 +112,18 @@ def known_ids(
 ) -> DataFrame:
     """Rows whose key is in the listing, or with ``flag`` all rows and a column that says so.
 
-    A key with many rows is spread over slots by a hash of the whole row, or of ``spread_by``, a
-    column that tells the rows of one key apart, where that is given.
+    A listing of up to ``FEW`` keys is broadcast, and nothing else moves. With a longer one a key of
+    many rows is spread over slots by a hash of the whole row, or of ``spread_by``, a column that
+    tells the rows of one key apart, where that is given.
     """
     known = listing.select(F.col(listing_key).alias(key)).distinct()
+    few = known.limit(FEW + 1).count() <= FEW
     if flag is not None:
         known = known.withColumn(flag, F.lit(True))
     how = "left_semi" if flag is None else "left"
+    if few:
+        joined = rows.join(F.broadcast(known), key, how)
+        return joined if flag is None else joined.select(*rows.columns, F.coalesce(flag, F.lit(False)).alias(flag))
     plain = [f.name for f in rows.schema if not isinstance(f.dataType, T.MapType)]
     spread = [spread_by] if spread_by else plain
     joined = lookup_join(rows, known, key, spread, how, hot_keys)
@@ -122,7 +135,8 @@ def compare_snapshots(
 ) -> DataFrame:
     """(id, change) with ``added``, ``removed``, ``same`` or ``changed``; equal nulls are the same.
 
-    Both snapshots have one row per id. Only the compared fields reach the shuffle.
+    Both snapshots have one row per id. Only the compared fields reach the shuffle; tables of
+    ``write_snapshot`` need none.
     """
     a = before.select(key, F.struct(*fields).alias("_a"))
     b = after.select(key, F.struct(*fields).alias("_b"))

@@ -20,24 +20,41 @@ _TEXT_MAP = T.MapType(T.StringType(), T.StringType())
 
 
 def _documents(spark: SparkSession, paths: str | Sequence[str], multi_line: bool) -> DataFrame:
-    """(path, document): one row per file, or per line that is not blank. Missing paths add none."""
+    """(path, place, document): one row per file, or per line that is not blank. Missing paths add none.
+
+    ``place`` is a number in the order of the paths and, within one, of its lines.
+    """
     roots = [paths] if isinstance(paths, str) else list(paths)
-    while roots:
-        try:
-            files = spark.read.text(roots, wholetext=multi_line)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            missing = error.getMessageParameters()["path"]
-            left = [root for root in roots if not missing.endswith(root.removeprefix("file:"))]
-            if len(left) == len(roots):
-                raise
-            log.warning("%s not found, no configuration from there", missing)
-            roots = left
-            continue
-        rows = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
-        return rows if multi_line else rows.where(F.trim("document") != "")
-    return spark.createDataFrame([], "path string, document string")
+    found = [root for root in roots if _exists(spark, root)]
+    for root in roots:
+        if root not in found:
+            log.warning("%s not found, no configuration from there", root)
+    if not found:
+        return spark.createDataFrame([], "path string, place decimal(38,0), document string")
+    files = spark.read.text(found, wholetext=multi_line)
+    listed = enumerate(sorted(set(files.inputFiles())))  # the reader has listed them all here anyway
+    ranks = spark.createDataFrame([(path, rank) for rank, path in listed] or [], "path string, rank bigint")
+    # A task reads the lines of a block in their order, and an id counts them in its lower 33 bits.
+    line = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = files.select(
+        F.col("_metadata.file_path").alias("path"),
+        (F.col("_metadata.file_block_start").cast("decimal(14,0)") * F.lit(10**10).cast("decimal(11,0)") + line).alias("at"),
+        F.col("value").alias("document"),
+    )
+    place = F.col("rank").cast("decimal(12,0)") * F.lit("1" + "0" * 24).cast("decimal(25,0)") + F.col("at")
+    rows = rows.join(ranks, "path", "left").select("path", place.cast("decimal(38,0)").alias("place"), "document")
+    return rows if multi_line else rows.where(F.trim("document") != "")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at a path, which may have wildcards; a listing, no job."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def _raised(status: Column, strict: bool) -> Column:
@@ -51,12 +68,12 @@ def _raised(status: Column, strict: bool) -> Column:
 def config_scan(
     spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True, strict: bool = False
 ) -> DataFrame:
-    """(path, url, port, address, session_configs, status), one row per notebook configuration.
+    """(path, place, url, port, address, session_configs, status), one row per notebook configuration.
 
     ``multi_line`` reads one configuration per file, otherwise one per line. Columns and ``strict``
     are those of ``config_rows``. A path that does not exist adds no row and is logged.
     """
-    return config_rows(_documents(spark, paths, multi_line), "document", "path", strict=strict)
+    return config_rows(_documents(spark, paths, multi_line), "document", "path", "place", strict=strict)
 
 
 def config_rows(rows: DataFrame, document: Column | str, *keep: str, strict: bool = False) -> DataFrame:
@@ -93,8 +110,8 @@ def config_rows(rows: DataFrame, document: Column | str, *keep: str, strict: boo
 def tool_scan(
     spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True, strict: bool = False
 ) -> DataFrame:
-    """(path, settings, status), one row per configuration of the submitting tool."""
-    return tool_rows(_documents(spark, paths, multi_line), "document", "path", strict=strict)
+    """(path, place, settings, status), one row per configuration of the submitting tool."""
+    return tool_rows(_documents(spark, paths, multi_line), "document", "path", "place", strict=strict)
 
 
 def tool_rows(rows: DataFrame, document: Column | str, *keep: str, strict: bool = False) -> DataFrame:
@@ -121,10 +138,12 @@ def _unfolded(settings: Column) -> Column:
 
 
 def _layer(rows: DataFrame, job: str, number: int, settings: Column) -> DataFrame:
+    # Several files of a job: the later path and, within it, the later line wins.
+    place = F.col("place") if "place" in rows.columns else F.lit(0)
     layer = rows.select(
         F.col(job).alias("job_id"),
         F.lit(number).alias("layer"),
-        F.lit(0).alias("seq"),
+        place.alias("seq"),
         # The outer explode builds the map once, without a look at its size first.
         F.explode_outer(settings).alias("key", "value"),
     )
@@ -134,6 +153,7 @@ def _layer(rows: DataFrame, job: str, number: int, settings: Column) -> DataFram
 def config_layer(settings: DataFrame, job: str) -> DataFrame:
     """Settings as rows (job_id, layer, seq, key, value) of the lowest configuration layer.
 
+    ``seq`` is the ``place`` of ``config_scan``, or 0 for rows without one.
     Every entry of ``conf`` is a key of its own, ``conf.`` and its name, so layers merge it entry by
     entry.
     """
