@@ -83,7 +83,13 @@ def decode_block(payload: bytes) -> np.ndarray:
 # characters alone, and lower case is one to one.
 _PLAIN = re.compile("[\t\n\r -~¡¿«»À-ÖØ-öø-ÿ]*")
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\\[-`{-~¡¿«»]+")
-# Fixed value: the pattern of tokenizers that are cut in this way.
+# The steps before, and the pattern, of tokenizers that are cut in this way. Runs of blanks
+# become one, which changes no piece.
+_STEPS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -102,10 +108,10 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         spec = json.loads(self.tokenizer.to_str())
-        steps = [step["type"] for step in (spec["normalizer"] or {}).get("normalizers", ())]
+        steps = (spec["normalizer"] or {}).get("normalizers", ())
         cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", ())
         self.cut = (
-            steps == ["NFC", "Replace", "Lowercase"]
+            steps == _STEPS
             and [cut["type"] for cut in cuts] == ["Split", "ByteLevel"]
             and cuts[0]["pattern"] == {"Regex": _PATTERN}
             and (cuts[0]["behavior"], cuts[0]["invert"]) == ("Removed", True)
