@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from jobledger.llm import words as W
 from jobledger.llm.components import components
-from jobledger.llm.tables import KEY, keyed, written
+from jobledger.llm.tables import KEY, keyed, packed, unpacked, written
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 1.0 / (1 << 53)
@@ -376,15 +376,13 @@ def keep_one(
     classes = near_duplicates(docs, doc_id, text, **parameters)
     first = classes.where("doc_id <=> class_id AND _h = class_h")
     first = written(first.select(*KEY, "n_rows"), "near-first")
-    rows = docs.withColumns(
-        {
-            "_near_id": F.col(doc_id).cast("bigint"),
-            "_near_h": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
-        }
+    rows = docs.select(
+        F.col(doc_id).cast("bigint").alias("id"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"),
+        packed(docs),
     )
-    kept = rows.join(
-        first, rows["_near_id"].eqNullSafe(first["doc_id"]) & (rows["_near_h"] == first["_h"])
-    ).select(*[rows[name] for name in rows.columns], F.col("n_rows").alias("_near_rows"))
-    single = kept.where("_near_rows = 1")
-    repeated = kept.where("_near_rows > 1").dropDuplicates(["_near_id", "_near_h"])
-    return single.unionByName(repeated).select(*docs.columns)
+    kept = rows.join(first, rows["id"].eqNullSafe(first["doc_id"]) & (rows["h"] == first["_h"]))
+    kept = kept.select("id", "h", "row", "n_rows")
+    single = kept.where("n_rows = 1").select("row")
+    repeated = kept.where("n_rows > 1").dropDuplicates(["id", "h"]).select("row")
+    return unpacked(single.unionByName(repeated), docs)

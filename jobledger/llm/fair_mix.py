@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobledger.llm.tables import written
+from jobledger.llm.tables import packed, unpacked, written
 
 BUCKET_ROWS = 20_000  # documents whose running sum one window group works out, on average
 
@@ -147,22 +147,25 @@ def fair_mix(
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **parameters) -> DataFrame:
-    """The rows of ``docs``, all columns, as often as the mix takes each of them."""
+    """The rows of ``docs``, all columns under whatever names, as often as the mix takes each of them.
+
+    Null texts are of size 0, and a missing source or id is one of its own. Rows that repeat id, text
+    and source are taken as often as each other; texts of size 0 come by chance in the place that
+    their mark gives them. An empty table gives no rows.
+    """
     taken = fair_mix(docs, doc_id, text, source, **parameters)
     taken = taken.groupBy("doc_id", "_h", "source").agg(F.max("copies").alias("copies")).where("copies > 0")
     taken = written(taken, "mix-taken")
-    rows = docs.withColumns(
-        {
-            "_mix_id": F.col(doc_id).cast("bigint"),
-            "_mix_h": F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")),
-            "_mix_source": F.col(source).cast("string"),
-        }
+    rows = docs.select(
+        F.col(doc_id).cast("bigint").alias("id"),
+        F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("h"),
+        F.col(source).cast("string").alias("from"),
+        packed(docs),
     )
     same = (
-        rows["_mix_id"].eqNullSafe(taken["doc_id"])
-        & (rows["_mix_h"] == taken["_h"])
-        & rows["_mix_source"].eqNullSafe(taken["source"])
+        rows["id"].eqNullSafe(taken["doc_id"])
+        & (rows["h"] == taken["_h"])
+        & rows["from"].eqNullSafe(taken["source"])
     )
-    found = rows.join(taken, same).select(*[rows[name] for name in docs.columns], taken["copies"].alias("_copies"))
-    repeated = found.select("*", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))
-    return repeated.select(*docs.columns)
+    found = rows.join(taken, same).select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return unpacked(found, docs)

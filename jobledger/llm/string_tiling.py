@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobledger.llm import words as W
-from jobledger.llm.tables import KEY, id_and_text, keyed, same_key, written
+from jobledger.llm.tables import KEY, id_and_text, keyed, packed, same_key, unpacked, written
 
 BLOCK_WORDS = 2_000_000  # words of the benchmark that one pass takes to the documents, on average
 
@@ -224,13 +224,16 @@ def contaminated(
 def decontaminated(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **parameters
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no item of the benchmark."""
+    """The rows of ``docs``, all columns under whatever names, that hold no item of the benchmark.
+
+    Rows with a null or empty text hold none and stay, as do all rows if the benchmark is empty; rows
+    that repeat id and text fare alike. An empty table gives no rows.
+    """
     found = contaminated(docs, benchmark, doc_id, text, **parameters).select(*KEY).distinct()
-    rows = docs.withColumns(
-        {
-            "_tile_id": F.col(doc_id).cast("bigint"),
-            "_tile_h": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
-        }
+    rows = docs.select(
+        F.col(doc_id).cast("bigint").alias("id"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"),
+        packed(docs),
     )
-    same = rows["_tile_id"].eqNullSafe(found["doc_id"]) & (rows["_tile_h"] == found["_h"])
-    return rows.join(found, same, "left_anti").select(*docs.columns)
+    same = rows["id"].eqNullSafe(found["doc_id"]) & (rows["h"] == found["_h"])
+    return unpacked(rows.join(found, same, "left_anti"), docs)

@@ -29,6 +29,16 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     return rows.select("doc_id", F.xxhash64("text").alias("_h"), "text")
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns of a row as one, ``row``, so that none clashes with an operator's own."""
+    return F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from the ``row`` of ``packed``."""
+    return rows.select(*[F.col("row").getField(name).alias(name) for name in docs.columns])
+
+
 def same_key(left: DataFrame, right: DataFrame, *names: str) -> Column:
     """Null-safe equality on ``names`` (``KEY`` unless given)."""
     condition = F.lit(True)
