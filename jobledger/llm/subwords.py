@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobledger.llm import words as W
-from jobledger.llm.tables import KEY, id_and_text, keyed, written
+from jobledger.llm.tables import KEY, id_and_text, keyed
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0, 9, 10, 11, 12, 13, 32]] = True
@@ -31,7 +31,7 @@ _BEGINS, _ENDS, _WHOLE = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D2
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` labelled documents of up to ``sample_bytes`` bytes are learned from, at most."""
+    """``sample`` labelled documents are learned from, at most, and ``sample_bytes`` bytes of text in all."""
 
     lower: bool = True
     bigrams: bool = False  # pairs of words as features too, and one row for a word that repeats the last
@@ -42,7 +42,7 @@ class Settings:
     steps: int = 24_000  # documents seen in training, again and again where there are fewer
     rate: float = 20.0
     sample: int = 6000
-    sample_bytes: int = 20_000
+    sample_bytes: int = 24_000_000
     seed: int = 7
 
 
@@ -175,14 +175,22 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, settings: Settings)
     """The sample to learn from: the labelled documents whose ids hash lowest.
 
     The sample is chosen by ids and sizes alone; only the texts of the chosen documents, no more than
-    ``sample``, leave the scan. Labels other than 0 and 1, and documents without an id, are left out.
+    ``sample``, leave the scan. Of these, in that order, each is taken that fits into what is left of
+    ``sample_bytes``, long ones like others. Labels other than 0 and 1, documents without an id and
+    empty texts are left out; rows that repeat id, text and label count once.
     """
     keys = keyed(docs)
-    small = F.octet_length("text").between(1, settings.sample_bytes)
+    sized = keys.select(*KEY, F.octet_length("text").alias("_size")).where("_size > 0")
     labels = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("_label"))
-    chosen = keys.where(small).select(*KEY).join(labels.where(F.col("_label").isin(0, 1)), "doc_id").distinct()
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "_h", "_label").limit(settings.sample)
-    chosen = F.broadcast(written(chosen, "labelled-keys"))  # at most ``sample`` short rows
+    chosen = sized.join(labels.where(F.col("_label").isin(0, 1)), "doc_id").distinct()
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "_h", "_label").limit(settings.sample).collect()
+    left, taken = settings.sample_bytes, []
+    for row in chosen:
+        if row["_size"] <= left:
+            left -= row["_size"]
+            taken.append((row["doc_id"], row["_h"], row["_label"]))
+    schema = "doc_id bigint, _h bigint, _label int"
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(taken, schema))  # at most ``sample`` short rows
     found = keys.join(chosen, list(KEY)).groupBy(*KEY, "_label").agg(F.any_value("text").alias("text"))
     found = found.orderBy(F.xxhash64("doc_id"), "doc_id", "_h", "_label").collect()
     return [row["text"].encode() for row in found], [row["_label"] for row in found]
