@@ -187,13 +187,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir))
 
 
-_RUNS = """WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS v,
-    unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line FROM documents),
-three AS (SELECT doc_id, line, v, lead(v) OVER d AS v2, lead(v, 2) OVER d AS v3 FROM lines
-    WINDOW d AS (PARTITION BY doc_id ORDER BY line)),
-later AS (SELECT doc_id, line FROM (SELECT doc_id, line, v3, row_number() OVER
-    (PARTITION BY v, v2, v3 ORDER BY doc_id, line) AS n FROM three WHERE v3 IS NOT NULL) WHERE n > 1),
-gone AS (SELECT DISTINCT doc_id, line + i AS line FROM later, (SELECT unnest([0, 1, 2]) AS i)),
+_RUN_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_RUNS = f"""WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS v,
+    unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line,
+    len(string_split(coalesce(text, ''), chr(10))) AS size FROM documents),
+three AS (SELECT *, lead(v) OVER d AS v2, lead(v, 2) OVER d AS v3, lead(w) OVER d AS w2
+    FROM (SELECT *, len(regexp_extract_all(v, '{_RUN_WORD}')) AS w FROM lines) WINDOW d AS (PARTITION BY doc_id ORDER BY line)),
+one AS (SELECT *, row_number() OVER (PARTITION BY v ORDER BY doc_id, line) AS n FROM three),
+two AS (SELECT *, row_number() OVER (PARTITION BY v, v2 ORDER BY doc_id, line) AS n FROM three WHERE v2 IS NOT NULL),
+all3 AS (SELECT *, row_number() OVER (PARTITION BY v, v2, v3 ORDER BY doc_id, line) AS n FROM three WHERE v3 IS NOT NULL),
+later AS (SELECT doc_id, line, 3 AS k FROM all3 WHERE n > 1
+    UNION ALL SELECT doc_id, line, 1 FROM one WHERE n > 1 AND (w > 50 OR (line = 0 AND size = 1 AND w > 0))
+    UNION ALL SELECT doc_id, line, 2 FROM two WHERE n > 1 AND (w + w2 > 50 OR (line = 0 AND size = 2 AND w + w2 > 0))),
+gone AS (SELECT DISTINCT doc_id, line + unnest(range(k)) AS line FROM later),
 marked AS (SELECT l.doc_id, l.line, l.v, g.line IS NOT NULL AS gone FROM lines l LEFT JOIN gone g USING (doc_id, line)),
 runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY line), false) AS first FROM marked)
 SELECT doc_id, CAST(count(*) AS INT) AS n_lines, CAST(count(*) FILTER (gone) AS INT) AS n_removed,
@@ -203,9 +209,10 @@ SELECT doc_id, CAST(count(*) AS INT) AS n_lines, CAST(count(*) FILTER (gone) AS
 
 @query(_RUNS)
 def op3_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines that remain once runs of three lines or more that stand earlier are removed."""
+    """Lines that remain once runs of three lines or more, of over 50 words, or of a whole document
+    that stand earlier are removed."""
     kept = F.md5(F.col("kept_text").cast("binary")).alias("kept_md5")
-    found = line_runs.remove_runs(documents(spark, sf_dir))
+    found = line_runs.remove_runs(documents(spark, sf_dir), words=50)
     return found.select("doc_id", "n_lines", "n_removed", "n_runs", kept)
 
 
