@@ -23,7 +23,13 @@ from pyspark.sql import functions as F
 
 from jobledger.llm.tables import KEY, keyed, same_key, written
 
-_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_BETWEEN_WORDS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
+def _words(line: str) -> Column:
+    """How many words a line has: the pieces that are left once what stands between them is one blank."""
+    spaced = F.btrim(F.regexp_replace(line, _BETWEEN_WORDS, " "))
+    return F.when(spaced == "", F.lit(0)).otherwise(F.size(F.split(spaced, " "))).cast("bigint")
 
 
 def _rank(*values: Column | str) -> Column:
@@ -64,10 +70,10 @@ def remove_runs(
     if words is None:
         copies = _copies(_repeated_lines(first), least)
     else:
-        value = F.regexp_count("value", F.lit(_WORD)).cast("bigint")
-        split = F.split("text", "\n")
-        first = rows.select(*KEY, F.size(split).alias("size"), F.posexplode(split).alias("line", "value"))
-        first = first.select(*KEY, "size", "line", _rank("value").alias("rank"), value.alias("own"))
+        # The outer form builds the array once; a plain explode looks at its size first.
+        split = rows.select(*KEY, F.split("text", "\n").alias("lines"))
+        first = split.select(*KEY, F.size("lines").alias("size"), F.posexplode_outer("lines").alias("line", "value"))
+        first = first.select(*KEY, "size", "line", _rank("value").alias("rank"), _words("value").alias("own"))
         copies = _copies_of_words(_repeated_lines(first), least, words)
     runs = written(_runs(copies), "line-runs")
     # Always a shuffle of the texts: the runs grow with them, so no size of theirs is one to rely on.
