@@ -13,7 +13,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 21  # bytes handled at a time; a longer text is cut between words
+SLICE = 1 << 20  # bytes handled at a time; a longer text is cut between words
 _BASE = 0x2545F4914F6CDD1D
 _RANDOM = np.random.default_rng(20240229)
 _BYTE_VALUE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -43,7 +43,7 @@ def _powers_of(base: int, bits: int) -> np.ndarray:
 
 def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of the base and of its inverse modulo 2**64."""
-    bits = max(22, int(count).bit_length())
+    bits = max(21, int(count).bit_length())
     return _powers_of(_BASE, bits)[:count], _powers_of(pow(_BASE, -1, 1 << 64), bits)[:count]
 
 
