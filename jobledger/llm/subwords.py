@@ -42,7 +42,7 @@ class Settings:
     steps: int = 24_000  # documents seen in training, again and again where there are fewer
     rate: float = 20.0
     sample: int = 6000
-    sample_bytes: int = 24_000_000
+    sample_bytes: int = 16_000_000
     seed: int = 7
 
 
