@@ -179,8 +179,8 @@ def _shard(
         return pa.RecordBatch.from_arrays(columns, names)
 
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            ids = np.append(tokens.ids(text), np.uint32(end_id)).astype(np.uint32)
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            ids = np.append(tokens.ids(text.as_py()), np.uint32(end_id)).astype(np.uint32)
             docs.append((doc_id, at, len(ids)))
             at += len(ids)
             waiting.append(ids)
