@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from jobledger.llm.tables import packed, unpacked, written
 
 BUCKET_ROWS = 20_000  # documents whose running sum one window group works out, on average
+RANGES = 2_000  # ranges of the global order at most: Spark's choice of their ends takes a sample of each
 
 
 def tokens(text: str) -> Column:
@@ -54,16 +55,22 @@ def source_targets(
     return ranked.select("source", "source_size", F.coalesce(target, F.col("most")).cast("double").alias("target"))
 
 
-def running_sum(
-    rows: DataFrame, group: list[str], place: str, order: list[Column], value: str, name: str, buckets: int
-) -> DataFrame:
+def in_ranges(rows: DataFrame, order: list[str], ranges: int) -> DataFrame:
+    """``rows`` with ``_slice``, the number of their range: ranges of about equal counts in ``order``.
+
+    The ends are quantiles of the whole order, not of its first column, so rows that agree in the
+    first column are cut by the next ones. The table is written: numbers stay as they are.
+    """
+    dealt = rows.repartitionByRange(ranges, *order)
+    return written(dealt.withColumn("_slice", F.spark_partition_id()), "mix-ranges")
+
+
+def running_sum(rows: DataFrame, group: list[str], order: list[str], value: str, name: str) -> DataFrame:
     """Add the sum of ``value`` over the rows of the group up to and including each row.
 
-    ``place`` is a double from 0 to 1 that leads ``order``. Rows are summed within slices of
-    ``place`` and slices by their totals, so no task holds a group. Slices are written once.
+    ``_slice`` numbers slices of the rows that follow each other in ``order``. Rows are summed within
+    slices and slices by their totals, so no task holds a group.
     """
-    slice_ = F.least(F.floor(F.col(place) * buckets), F.lit(buckets - 1)).cast("int")
-    rows = rows.withColumn("_slice", slice_)
     totals = rows.groupBy(*group, "_slice").agg(F.sum(value).alias("_in"))
     by = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("_before", F.coalesce(F.sum("_in").over(by), F.lit(0))).drop("_in")
@@ -121,18 +128,19 @@ def fair_mix(
     queue = written(queue, "mix-queue")
     count = queue.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     buckets = max(1, -(-count // BUCKET_ROWS))
-    order = [F.col("_place"), F.col("mark"), F.col("doc_id"), F.col("_h")]
-    queue = running_sum(queue, ["source", "epoch"], "_place", order, "cost", "sent", buckets)
+    # Places are even whatever the texts are, so equal steps of them hold equal counts of a source.
+    place = F.least(F.floor(F.col("_place") * buckets), F.lit(buckets - 1)).cast("int")
+    queue = queue.withColumn("_slice", place)
+    queue = running_sum(queue, ["source", "epoch"], ["_place", "mark", "doc_id", "_h"], "cost", "sent")
     sent = F.col("sent") + (F.col("epoch") - 1) * F.col("source_size")
     finish = F.when(F.col("target") > 0, sent / F.col("target")).otherwise(F.col("_place"))
     queue = written(queue.withColumn("finish", finish), "mix-finish")
 
     budget = sizes.agg(F.sum("source_size") * F.lit(float(share))).first()[0] or 0.0
-    # The cut is near 1 and sources that get less than they have go on far beyond: half of the slices
-    # lie below 1 whatever the latest time is.
-    queue = queue.withColumn("_at", F.col("finish") / (F.col("finish") + 1)).withColumn("_all", F.lit(0))
-    order = [F.col("finish"), F.col("mark"), F.col("doc_id"), F.col("_h")]
-    queue = running_sum(queue, ["_all"], "_at", order, "cost", "total", buckets * 16)
+    # Finish times are not even: a source of empty texts has one for all of them.
+    order = ["finish", "mark", "doc_id", "_h"]
+    queue = in_ranges(queue, order, min(buckets, RANGES)).withColumn("_all", F.lit(0))
+    queue = running_sum(queue, ["_all"], order, "cost", "total")
     taken = queue.groupBy("doc_id", "source", "_h").agg(
         F.count_if(F.col("total") <= budget).alias("copies")
     )

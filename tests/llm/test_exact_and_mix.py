@@ -85,6 +85,27 @@ def test_mix(docs, prose, monkeypatch, bucket_rows):
     assert out.count() == sum(r.copies for r in found)
 
 
+def test_ranges_are_even_where_a_third_and_more_finish_at_once(spark):
+    rows = spark.range(4000).selectExpr("if(id % 4 = 0, id / 4000, 0.5) AS finish", "md5(string(id)) AS mark", "id")
+    found = fair_mix.in_ranges(rows, ["finish", "mark", "id"], 20).collect()
+    sizes = collections.Counter(r._slice for r in found)
+    assert sum(sizes.values()) == 4000 and max(sizes.values()) < 3 * 4000 / 20
+    slices = [r._slice for r in sorted(found, key=lambda r: (r.finish, r.mark))]
+    assert slices == sorted(slices)
+
+
+def test_mix_of_a_source_of_empty_texts(docs, monkeypatch):
+    monkeypatch.setattr(fair_mix, "BUCKET_ROWS", 50)
+    rows = [(3 * i, "") for i in range(400)] + [(0, "a b c")] + [(3 * i + 1, "d e") for i in range(30)]
+    found = fair_mix.fair_mix(docs(rows)).collect()
+    assert len(found) == len(rows)
+    taken = collections.Counter()
+    for row in found:
+        taken[row.source] += row.size * row.copies
+    for source, target in {(r.source, r.target) for r in found}:
+        assert abs(taken[source] - target) <= 6
+
+
 def test_mix_of_nothing_and_of_empty_texts(docs):
     assert fair_mix.fair_mix(docs([(1, "a")]).limit(0)).collect() == []
     assert fair_mix.mixed(docs([(1, "a")]).limit(0)).collect() == []
