@@ -1,22 +1,25 @@
 """License notices found by ordered signature rules over words, in DataFrame operations alone.
 
 Texts are lower-cased in A-Z and cut into words; a rule is a regular expression over whole words. A
-document is looked at by a rule only if it has the rule's keyword, and by any rule only if it has any
-keyword. What a rule finds is an interval of words. An interval that lies within one of a rule of
+document is looked at by a rule only if it has the rule's keyword, and by any rule only if it has a
+piece of a word that stands in some keyword. What a rule finds is an interval of words. An interval that lies within one of a rule of
 better priority, or of a longer one of its own priority, is suppressed, except for the base phrases,
 which always count.
 
 Rules are written word by word: ``word?`` is optional, ``[..]`` and ``(a|b)`` are as in any regular
-expression. Names of licenses are combined with the ways in which texts refer to them.
+expression. They are in ``license_rules``.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobledger.llm.license_rules import ANCHORS, lines
 from jobledger.llm.tables import KEY, id_and_text, lower_ascii, same_key, written
 
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]"
@@ -49,81 +52,10 @@ BASE = (
     Rule("reserved", "all rights reserved", "rights reserved", 0),
 )
 
-# label, name of the license, a keyword of it
-NAMES = (
-    ("agpl", "gnu? affero general public licen[cs]e", "affero"),
-    ("lgpl", "(gnu|the) (lesser|library) general public licen[cs]e", "general public"),
-    ("gpl-name", "gnu general public licen[cs]e", "gnu general public"),
-    ("gpl-short", "gnu? gpl", "gpl"),
-    ("lgpl-short", "gnu? lgpl", "lgpl"),
-    ("agpl-short", "gnu? agpl", "agpl"),
-    ("fdl", "gnu? free documentation licen[cs]e", "free documentation"),
-    ("apache", "apache software? licen[cs]e", "apache"),
-    ("mit", "(mit|expat|x11) licen[cs]e", "licen"),
-    ("bsd", "bsd (licen[cs]e|style)", "bsd"),
-    ("bsd-clause", "[0234] clause bsd", "clause bsd"),
-    ("mpl", "mozilla public licen[cs]e", "mozilla public"),
-    ("epl", "eclipse public licen[cs]e", "eclipse public"),
-    ("cddl", "common development and distribution licen[cs]e", "development and distribution"),
-    ("eupl", "european union public licen[cs]e", "union public"),
-    ("artistic", "(artistic|perl) licen[cs]e", "licen"),
-    ("zlib", "zlib libpng? licen[cs]e", "zlib"),
-    ("boost", "boost software licen[cs]e", "boost software"),
-    ("unlicense", "the unlicense", "unlicense"),
-    ("wtfpl", "do what the fuck you want to public licen[cs]e", "you want to public"),
-    ("isc", "isc licen[cs]e", "isc licen"),
-    ("psf", "python software foundation licen[cs]e", "python software foundation"),
-    ("php", "php licen[cs]e", "php licen"),
-    ("ofl", "sil? open font licen[cs]e", "open font"),
-    ("ms-pl", "microsoft public licen[cs]e", "microsoft public"),
-    ("cecill", "cecill [abc]? licen[cs]e?", "cecill"),
-    ("odbl", "open database licen[cs]e", "open database"),
-    ("cc-name", "creative commons attribution", "creative commons"),
-    ("cc-by-sa", "cc by sa", "cc by sa"),
-    ("cc-by-nc", "cc by nc", "cc by nc"),
-    ("cc-by-nd", "cc by nd", "cc by nd"),
-    ("cc0", "cc0", "cc0"),
-    ("public-domain", "public domain", "public domain"),
-    ("ncsa", "university of illinois ncsa open source licen[cs]e", "ncsa"),
-    ("rpl", "reciprocal public licen[cs]e", "reciprocal public"),
-    ("afl", "academic free licen[cs]e", "academic free"),
-    ("osl", "open software licen[cs]e", "open software"),
-    ("ibm-pl", "ibm public licen[cs]e", "ibm public"),
-    ("cpl", "common public licen[cs]e", "common public"),
-    ("qpl", "q public licen[cs]e", "q public"),
-)
-# ending of the label, words before and after the name, priority
-FORMS = (
-    ("notice", "(licensed|released|distributed|available|published) under", "the?", "", 1),
-    ("terms", "under the terms (of|and)", "conditions? of? the?", "", 1),
-    ("version", "", "", "(version|v)? [0-9]+", 2),
-    ("or-later", "", "", "(version|v)? [0-9]+ [0-9]? or at? your? option? any? later", 1),
-    ("copy", "copy of the", "", "", 2),
-    ("mention", "", "", "", 3),
-)
-SPECIAL = (
-    Rule("copyright-notice", "copyright c? (19|20)[0-9][0-9]", "copyright", 2),
-    Rule("reserved-notice", "copyright c? [0-9]+ \\S+ \\S+? all rights reserved", "all rights reserved", 1),
-    Rule("no-warranty", "without any? warranty", "warranty", 3),
-    Rule("as-is", "provided as is without warranty", "as is without", 2),
-    Rule("spdx", "spdx license identifier \\S+", "spdx license identifier", 1),
-    Rule("permission", "permission is hereby granted free of charge", "hereby granted", 1),
-    Rule("redistribution", "redistribution and use in source and binary forms", "redistribution and use", 1),
-    Rule("proprietary", "confidential and proprietary", "confidential and proprietary", 3),
-    Rule("unlicensed-copy", "may not be (copied|reproduced|redistributed)", "may not be", 3),
-    Rule("under-license", "licensed under", "licensed under", 4),
-    Rule("license-word", "licen[cs]e agreement", "agreement", 4),
-)
-
-
 def rules() -> tuple[Rule, ...]:
-    """All rules in order: base phrases, every form of every name, and notices without a name."""
-    found = [*BASE]
-    for label, name, keyword in NAMES:
-        for form, before, between, after, priority in FORMS:
-            words = " ".join(f"{before} {between} {name} {after}".split())
-            found.append(Rule(f"{label}:{form}", words, keyword, priority))
-    return (*found, *SPECIAL)
+    """All rules in order: base phrases and the signatures."""
+    signatures = (Rule(label, words, keyword, int(priority)) for label, priority, keyword, words in lines())
+    return (*BASE, *signatures)
 
 
 CONFIDENCE = {0: 0.75, 1: 1.0, 2: 0.875, 3: 0.625, 4: 0.25}
@@ -134,9 +66,12 @@ def _words_in(text: Column) -> Column:
     return ((F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))) / 2).cast("int")
 
 
-def _any_keyword(table: tuple[Rule, ...]) -> str:
-    gates = dict.fromkeys(rule.gate for rule in table)
-    return "|".join(gate.replace("  ", f"{BREAK}+") for gate in gates)
+def _any_anchor(text: Column, table: tuple[Rule, ...]) -> Column:
+    """Whether a text has a piece of a word that a keyword of the table has: plain searches, no pattern."""
+    anchors = [anchor for anchor in ANCHORS if any(anchor in rule.gate for rule in table)]
+    # Keywords of other tables bring their own first word.
+    anchors += [rule.gate.split()[0] for rule in table if not any(anchor in rule.gate for anchor in ANCHORS)]
+    return functools.reduce(operator.or_, [F.contains(text, F.lit(anchor)) for anchor in dict.fromkeys(anchors)])
 
 
 def detections(docs: DataFrame, table: tuple[Rule, ...]) -> DataFrame:
@@ -200,7 +135,7 @@ def license_scan(
     scanned = rows.select(
         *KEY,
         F.regexp_count("text", F.lit(f"{WORD}+")).cast("bigint").alias("n_words"),
-        F.when(F.col("text").rlike(_any_keyword(table)), words).alias("words"),
+        F.when(_any_anchor(F.col("text"), table), words).alias("words"),
     )
     scanned = written(scanned, "license-words")
     looked_at = scanned.where("words IS NOT NULL").select(*KEY, "words")
