@@ -62,6 +62,38 @@ def test_rules_are_many_and_valid():
         re.compile(rule.pattern)
 
 
+def matched(words):
+    """Words that a rule's pattern matches, without the optional ones."""
+    required = [word for word in words.split() if not word.endswith("?")]
+    first = [re.sub(r"\(([^|()]*)\|[^()]*\)", r"\1", word).replace("\\S+", "x") for word in required]
+    return "".join(f" {re.sub(r'\[(.).*?\]\+?', r'\1', word)} " for word in first)
+
+
+def test_signatures_match_their_own_words_and_have_their_keyword():
+    for rule in license_scan.rules():
+        assert re.fullmatch(rule.pattern, matched(rule.words)), rule
+        assert rule.gate in matched(rule.words), rule
+        assert any(anchor in rule.gate for anchor in license_scan.ANCHORS), rule
+
+
+@pytest.mark.parametrize(
+    "text,label",
+    [
+        ("Licensed under the Apache License, Version 2.0 (the \"License\");", "apache:under"),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy", "mit:grant"),
+        ("SPDX-License-Identifier: MIT", "spdx:identifier"),
+        ("released under the BSD 3-Clause License", "bsd:clause-after"),
+        ("Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", "bsd:file"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc:work"),
+        ("You should have received a copy of the GNU General Public License", "gpl:received"),
+        ("licensed under an MIT license", "mit:under"),
+    ],
+)
+def test_common_notices(docs, text, label):
+    (found,) = license_scan.license_scan(docs([(1, text)])).collect()
+    assert label in found.labels.split(",")
+
+
 def test_scan_equals_the_standard_library(docs):
     table = license_scan.rules()
     rows = [*enumerate(TEXTS), (None, TEXTS[0]), (3, TEXTS[1]), (3, TEXTS[1])]
@@ -125,9 +157,10 @@ def test_tiling_covers_as_much_as_the_greedy_loop():
         assert len(marks) == len(set(marks))
 
 
-@pytest.mark.parametrize("block_words", [2_000_000, 20])
-def test_contaminated(spark, docs, prose, monkeypatch, block_words):
-    monkeypatch.setattr(string_tiling, "BLOCK_WORDS", block_words)
+@pytest.mark.parametrize("hot", [10_000, 0])
+def test_contaminated(spark, docs, prose, monkeypatch, hot):
+    monkeypatch.setattr(string_tiling, "HOT_ITEMS", hot)
+    monkeypatch.setattr(string_tiling, "HOT_WORDS", hot)
     items = {0: prose(40, 1), 1: prose(30, 2), 2: "short one", 3: None, 4: "", 5: prose(12, 3)}
     words = items[0].split()
     reordered = " ".join(words[20:] + ["q"] + words[:20])
@@ -153,6 +186,24 @@ def test_contaminated(spark, docs, prose, monkeypatch, block_words):
     assert string_tiling.contaminated(df.limit(0), benchmark).collect() == []
 
 
+def test_pairs_of_frequent_phrases_equal_all_pairs(spark, docs):
+    random_ = np.random.default_rng(5)
+    say = lambda n: " ".join(f"v{x}" for x in random_.integers(0, 3, n))
+    items = {i: "of the following which one " + say(int(random_.integers(0, 14))) for i in range(25)}
+    rows = [(i, say(int(random_.integers(1, 60))) + " of the following which one " + say(20)) for i in range(60)]
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    expected = {}
+    for doc_id, text in rows:
+        for item_id, item in items.items():
+            pattern = tokens(item)
+            made = string_tiling.tiles(pattern, tokens(text), min(5, len(pattern)))
+            if sum(n for n, _, _ in made) >= 0.5 * len(pattern):
+                expected[doc_id, item_id] = sum(n for n, _, _ in made) / len(pattern)
+    found = string_tiling.contaminated(docs(rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id): r.coverage for r in found} == expected
+    assert 60 < len(found) == len(expected) < 60 * 25
+
+
 def test_a_last_document_that_is_a_short_item(spark, docs, prose):
     benchmark = spark.createDataFrame([(0, prose(40, 1)), (2, "short one")], "item_id long, text string")
     rows = [(1, prose(30, 4)), (2, "Short one")]
