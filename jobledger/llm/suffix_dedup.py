@@ -19,7 +19,7 @@ only if its first rank also stands in other runs; it is cut up for the next roun
 
 Ranks are 64-bit hashes, so a pair has 128 bits, and Spark sorts the pairs. Runs that one task sees
 more than once are ranked there and sent once; a passage that a third of all documents share sends a
-row a batch.
+row a batch, and a phrase that they share in differing surroundings a row a place, which no task gathers.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 
 from jobledger.llm import words as W
 from jobledger.llm.tables import keyed, written
+from jobledger.plans.bloom import maybe_among
+from jobledger.plans.skew import lookup_join
 
 _NO_ID = -(1 << 63)
 _PLACE_BITS = 24
@@ -306,13 +308,20 @@ def remove_repeats(
 def _reranked(ranked: DataFrame, goes_on: bool) -> DataFrame:
     """Runs that are ``later``, their pair standing earlier too, and those that go to the next round.
 
-    The latter are the first of their pair, with a first rank that has other pairs. A rank has a row
-    for each batch of documents that holds it, not one for each place.
+    The latter are the first of their pair, with a first rank that has other pairs. A pair has a row
+    for each batch of documents that holds it. A rank may stand in as many pairs as there are
+    places: whether it has others is a least and a greatest one for each rank, with a partial result
+    in every task, and a lookup that spreads the runs of frequent ranks.
     """
     pair = Window.partitionBy("rank", "more").orderBy("id", "h", "place")
-    ranked = ranked.withColumn("least", F.first(F.struct("id", "h", "place")).over(pair))
-    later = F.col("later") | (F.struct("id", "h", "place") != F.col("least"))
-    same = Window.partitionBy("rank")
-    other = F.min("more").over(same) != F.max("more").over(same) if goes_on else F.lit(False)
-    ranked = ranked.withColumn("other", other).withColumn("later", later)
-    return ranked.where("later OR other").select("id", "h", "place", "n", "lead", "later")
+    least = F.first(F.struct("id", "h", "place")).over(pair)
+    ranked = ranked.withColumn("later", F.col("later") | (F.struct("id", "h", "place") != least))
+    columns = ["id", "h", "place", "n", "lead", "later"]
+    if not goes_on:
+        return ranked.where("later").select(*columns)
+    ranked = written(ranked, "repeat-pairs")
+    first = ranked.where("NOT later")
+    ends = first.groupBy("rank").agg(F.min("more").alias("low"), F.max("more").alias("high"))
+    others = written(ends.where("low < high").select("rank"), "repeat-ranks")
+    open_ = lookup_join(maybe_among(first, others, "rank"), others, "rank", ["id", "place"], "left_semi")
+    return ranked.where("later").select(*columns).unionByName(open_.select(*columns))
