@@ -20,21 +20,23 @@ def submissions(settings: DataFrame, jobs: DataFrame | None = None, job: str = "
     is null. Keys that no request has are left out, but for ``conda_env``. ``jobs`` adds its columns
     by ``job``, one row each, and keeps jobs without settings.
     """
-    name = F.substring("key", len(CONF_PREFIX) + 1, 2**31 - 1)
-    entry = F.when(F.col("key").startswith(CONF_PREFIX), F.struct(name.alias("key"), F.col("value").alias("value")))
     wanted = [*REQUEST_FIELDS, "conda_env"]
+    read = F.col("key").isin(wanted) | F.col("key").startswith(CONF_PREFIX)
+    # One map a job, read by key below; an aggregate for each field would compare texts a dozen times.
+    entries = F.collect_list(F.when(read, F.struct("key", "value")))
+    found = settings.groupBy("job_id").agg(F.map_from_entries(entries).alias("_given"))
 
     def typed(field: str) -> Column:
-        value = F.max(F.when(F.col("key") == field, F.col("value")))
+        if field == "conf":
+            conf = F.map_filter("_given", lambda key, _: key.startswith(CONF_PREFIX))
+            name = lambda key, _: F.substring(key, len(CONF_PREFIX) + 1, 2**31 - 1)
+            return F.transform_keys(conf, name)
+        value = F.try_element_at("_given", F.lit(field))
         if field in _LISTS:
             return F.from_json(value, "array<string>")
         return value.try_cast("int") if field in _NUMBERS else value
 
-    columns = [
-        (F.map_from_entries(F.collect_list(entry)) if field == "conf" else typed(field)).alias(field)
-        for field in wanted
-    ]
-    found = settings.groupBy("job_id").agg(*columns)
+    found = found.select("job_id", *[typed(field).alias(field) for field in wanted])
     if jobs is None:
         return found
     return jobs.join(found.withColumnRenamed("job_id", job), job, "left")
