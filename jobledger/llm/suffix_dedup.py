@@ -310,8 +310,9 @@ def _reranked(ranked: DataFrame, goes_on: bool) -> DataFrame:
 
     The latter are the first of their pair, with a first rank that has other pairs. A pair has a row
     for each batch of documents that holds it. A rank may stand in as many pairs as there are
-    places: whether it has others is a least and a greatest one for each rank, with a partial result
-    in every task, and a lookup that spreads the runs of frequent ranks.
+    places: it is counted, with a partial result in every task, and looked up in a way that spreads
+    the runs of frequent ranks. Rows that repeat id and text count each, so their runs go on; that
+    finds nothing more.
     """
     pair = Window.partitionBy("rank", "more").orderBy("id", "h", "place")
     least = F.first(F.struct("id", "h", "place")).over(pair)
@@ -319,9 +320,9 @@ def _reranked(ranked: DataFrame, goes_on: bool) -> DataFrame:
     columns = ["id", "h", "place", "n", "lead", "later"]
     if not goes_on:
         return ranked.where("later").select(*columns)
-    ranked = written(ranked, "repeat-pairs")
+    ranked = written(ranked.select(*columns, "rank"), "repeat-pairs")
     first = ranked.where("NOT later")
-    ends = first.groupBy("rank").agg(F.min("more").alias("low"), F.max("more").alias("high"))
-    others = written(ends.where("low < high").select("rank"), "repeat-ranks")
+    counts = first.groupBy("rank").agg(F.count(F.lit(1)).alias("pairs"))
+    others = written(counts.where("pairs > 1").select("rank"), "repeat-ranks")
     open_ = lookup_join(maybe_among(first, others, "rank"), others, "rank", ["id", "place"], "left_semi")
     return ranked.where("later").select(*columns).unionByName(open_.select(*columns))
