@@ -124,7 +124,7 @@ def _throw(
 
 def _signed(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     """A 128-bit hash of the words of each text in order, null where it has none, and its bands."""
-    for batch in batches:
+    for batch in W.short(batches):
         texts = W.text_bytes(batch.column("text"))
         for first, last in W.parts(texts):
             words, offsets = W.hashed_words(texts[first:last])

@@ -39,7 +39,7 @@ from jobledger.llm.tables import keyed, written
 
 MAGIC = b"IDP1"
 _HEAD = struct.Struct("<4sBBHI")
-_CACHED = 1_000_000
+_CACHED = 100_000  # pieces that a worker keeps, and as many older ones
 
 
 def encode_block(ids: np.ndarray, bits: int = 16, planes: int = 1, level: int = 3) -> bytes:
@@ -98,8 +98,9 @@ class Tokens:
 
     A tokenizer that puts texts in lower case, cuts them by a pattern and merges within the pieces
     needs each distinct piece once. Texts in plain Latin letters are cut here, pieces are looked up,
-    and the library's model merges new ones; the last million are kept. Other texts, such with special
-    tokens, and all texts of other tokenizers are encoded whole.
+    and the library's model merges new ones. Workers live on after a task and so do the pieces they know:
+    those of two generations are kept, and pieces that are still met move from the older to the newer.
+    Other texts, such with special tokens, and all texts of other tokenizers are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -107,6 +108,7 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         spec = json.loads(self.tokenizer.to_str())
         steps = (spec["normalizer"] or {}).get("normalizers", ())
         cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", ())
@@ -139,11 +141,14 @@ class Tokens:
 
     def _learn(self, pieces: set[str]) -> None:
         if len(self.known) > _CACHED:
-            self.known.clear()
+            self.older, self.known = self.known, {}
         for piece in pieces:
             if piece not in self.known:
-                found = self.tokenizer.model.tokenize(piece.translate(self.as_bytes))
-                self.known[piece] = np.array([token.id for token in found], dtype="<u4").tobytes()
+                self.known[piece] = self.older.get(piece) or self._merged(piece)
+
+    def _merged(self, piece: str) -> bytes:
+        found = self.tokenizer.model.tokenize(piece.translate(self.as_bytes))
+        return np.array([token.id for token in found], dtype="<u4").tobytes()
 
 
 @functools.lru_cache(maxsize=1)

@@ -16,7 +16,6 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -200,7 +199,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.short(batches):
             found = scores(W.text_bytes(batch.column("text")), model)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "score"])
 
@@ -210,12 +209,11 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 def score_of(text: str, model: Model) -> Column:
     """The score as a column, next to whatever other columns there are."""
 
-    @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
-        # Not all texts of a batch as bytes at once.
-        parts = [texts[first : first + 500] for first in range(0, len(texts), 500)]
-        found = [scores([(value or "").encode() for value in part], model) for part in parts]
-        return pd.Series(np.concatenate(found) if found else np.zeros(0))
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        parts = W.short(iter([pa.record_batch([texts], ["text"])]))
+        found = [scores(W.text_bytes(part.column("text")), model) for part in parts]
+        return pa.array(np.concatenate(found) if found else np.zeros(0))
 
     return run(F.coalesce(F.col(text), F.lit("")))
 

@@ -13,7 +13,8 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 20  # bytes handled at a time; a longer text is cut between words
+SLICE = 1 << 20  # a longer text is cut between words
+TOGETHER = 1 << 18  # bytes of short texts handled at a time
 _BASE = 0x2545F4914F6CDD1D
 _RANDOM = np.random.default_rng(20240229)
 _BYTE_VALUE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -43,7 +44,7 @@ def _powers_of(base: int, bits: int) -> np.ndarray:
 
 def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of the base and of its inverse modulo 2**64."""
-    bits = max(21, int(count).bit_length())
+    bits = max(19 if count < 1 << 19 else 21, int(count).bit_length())
     return _powers_of(_BASE, bits)[:count], _powers_of(pow(_BASE, -1, 1 << 64), bits)[:count]
 
 
@@ -62,7 +63,8 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 
 def slices(texts: Sequence[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
-    """(index of the text, piece) lists of up to SLICE bytes; long texts are cut between words."""
+    """(index of the text, piece) lists of up to TOGETHER bytes, or one piece of up to SLICE; longer
+    texts are cut between words."""
     index: list[int] = []
     pieces: list[bytes] = []
     size = 0
@@ -73,7 +75,7 @@ def slices(texts: Sequence[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
             if end < len(text):  # go on to the end of the word that is cut
                 while end < len(text) and _IN_WORD[_LOWER[text[end]]]:
                     end += 1
-            if pieces and size + end - at > SLICE:
+            if pieces and size + end - at > TOGETHER:
                 yield index, pieces
                 index, pieces, size = [], [], 0
             index.append(i)
@@ -131,10 +133,10 @@ def shingles(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndar
 
 
 def parts(texts: Sequence[bytes], most: int = 1000) -> Iterator[tuple[int, int]]:
-    """Ranges of up to ``most`` texts and a slice of bytes together."""
+    """Ranges of up to ``most`` texts and TOGETHER bytes together."""
     first = size = 0
     for i, text in enumerate(texts):
-        if i > first and (size + len(text) > SLICE or i - first >= most):
+        if i > first and (size + len(text) > TOGETHER or i - first >= most):
             yield first, i
             first, size = i, 0
         size += len(text)
@@ -142,6 +144,13 @@ def parts(texts: Sequence[bytes], most: int = 1000) -> Iterator[tuple[int, int]]
         yield first, len(texts)
 
 
+def short(batches: Iterator[pa.RecordBatch], rows: int = 100) -> Iterator[pa.RecordBatch]:
+    """The batches cut to ``rows`` rows, so that few of their texts are Python objects at a time."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow column as bytes, a null as the empty text."""
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]

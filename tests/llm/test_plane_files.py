@@ -48,6 +48,18 @@ def test_ids_are_those_of_the_whole_text(name, monkeypatch):
         assert list(tokens.ids(text)) == tokens.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_in_use_outlive_the_bound_and_others_go(monkeypatch):
+    monkeypatch.setattr(plane_files, "_CACHED", 50)
+    tokens, merged = plane_files.Tokens(PATH), []
+    monkeypatch.setattr(tokens, "_merged", lambda piece: merged.append(piece) or plane_files.Tokens._merged(tokens, piece))
+    whole = plane_files.Tokens(PATH)
+    for i in range(300):
+        text = f"often {'abcdefghij'[i % 10]}word{chr(97 + i // 26)}{chr(97 + i % 26)}"
+        assert (tokens.ids(text) == whole.ids(text)).all()
+        assert len(tokens.known) + len(tokens.older) <= 2 * 52
+    assert merged.count("often") == 1
+
+
 @pytest.mark.parametrize("block_ids,shards", [(65_536, 3), (16, 2), (1, 1)])
 def test_files_hold_every_document(spark, docs, tmp_path, prose, block_ids, shards):
     rows = [*ODD, (50, prose(300, 1)), (-3, "negative id")]

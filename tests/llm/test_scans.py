@@ -1,6 +1,7 @@
 """License rules, string tiling and subword scores against plain Python."""
 
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -246,6 +247,18 @@ def test_scores_equal_the_trained_mean(prose):
         assert score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-4)
 
 
+def test_scores_hold_the_features_of_few_texts_at_a_time(prose):
+    model = subwords.train([], [], subwords.Settings(steps=10))
+    texts = [f"{prose(300, i)} {'long ' * 60_000 if i == 7 else ''}".encode() for i in range(600)]
+    alone = [subwords.scores([text], model)[0] for text in texts]
+    tracemalloc.start()
+    together = subwords.scores(texts, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert together.tolist() == alone
+    assert peak < 30 * W.SLICE
+
+
 def test_unseen_spellings_score_high(docs, prose):
     texts = [f"{prose(25, i)} {'horrible' if i % 3 == 0 else ''} {prose(10, i + 500)}" for i in range(400)]
     settings = subwords.Settings(steps=6000, buckets=1 << 14)
