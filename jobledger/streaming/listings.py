@@ -13,6 +13,10 @@ from jobledger.operators.records import latest_records
 from jobledger.sources.records import ARRIVAL
 
 
+#: Rows that a task puts in place of a directory's, about; a directory of more is written by several.
+TASK_ROWS = 200_000
+
+
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
@@ -36,7 +40,8 @@ def keep_latest(
     writes those that its keys fall into, and no other. A record of a later ``arrival`` replaces one
     that came before, in whatever order the listings are read, as in ``latest_records``. What is to
     be written is stored first and then put in place of its directories, so a micro-batch that is
-    tried again after a failure finds it and does that once more.
+    tried again after a failure finds it and does that once more. Tasks write ranges of (bucket, key),
+    so that however few the buckets, no task has one whole that is large.
     """
 
     def merge(records: DataFrame, epoch: int) -> None:
@@ -51,7 +56,8 @@ def keep_latest(
             latest_records(old.unionByName(new), arrival, key).write.mode("overwrite").parquet(staged)
             new.unpersist()
             spark.range(1).write.mode("overwrite").parquet(ready)
-        merged = spark.read.schema(schema).parquet(staged).repartition(_BUCKET.name)
+        merged = spark.read.schema(schema).parquet(staged)
+        merged = merged.repartitionByRange(buckets + merged.count() // TASK_ROWS, _BUCKET.name, key)
         replaced = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         replaced.partitionBy(_BUCKET.name).parquet(f"{folder}/table")
 

@@ -8,6 +8,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from jobledger.operators import records as ops
 from jobledger.operators.overlay import overlay
 from jobledger.operators.sampling import worker_inventory
@@ -163,3 +164,33 @@ def test_every_slice_is_seen_at_once(spark):
     empty = worker_inventory(spark.range(0), slices=slots, together=True).collect()
     assert sum(row.elements for row in empty) == 0 and sum(row.slices for row in empty) == slots
     assert sum(row.elements for row in worker_inventory(spark.range(10)).collect()) == 10
+
+
+def test_a_large_directory_of_a_listing_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(listings, "TASK_ROWS", 100)
+    merge = listings.keep_latest(str(tmp_path / "out"), 2)
+    rows = spark.range(1000).selectExpr("id", "0 AS arrival", "id AS listing_pos", "concat('a', id) AS name")
+    merge(rows, 0)
+    merge(rows.where("id < 300").withColumn("arrival", F.lit(1)).withColumn("name", F.lit("b")), 1)
+    found = listings.latest_table(spark, str(tmp_path / "out"), rows.schema)
+    assert len(found.inputFiles()) >= 8  # two directories
+    assert sorted((r.id, r.name) for r in found.collect()) == [(i, "b" if i < 300 else f"a{i}") for i in range(1000)]
+
+
+def test_listings_are_written_by_many_tasks_the_later_one_first(spark, tmp_path, monkeypatch):
+    orders = spark.range(3000).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "CASE WHEN id % 2 = 0 THEN 'F' ELSE 'O' END AS o_orderstatus"
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(registry, "fresh_dir", lambda spark, label: str(tmp_path / label))
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        found = registry.job_records_stream(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert len(spark.read.text(str(tmp_path / "listing")).inputFiles()) > 4
+    assert sorted((r.id, r.state, r.arrival) for r in found) == [
+        (i, "dead", 1) if i % 2 == 0 else (i, "starting", 0) for i in range(3000)
+    ]
