@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import __spark_entry__ as registry
 from jobledger.operators import logs as ops
 from jobledger.streaming import follow, sinks
 from test_logs import follow as one_job_at_a_time
@@ -237,3 +238,18 @@ def test_without_input(spark, tmp_path):
     (tmp_path / "in").mkdir()
     stream = spark.readStream.schema("batch_id long, poll_seq long, state string").json(str(tmp_path / "in"))
     assert follow.follow_until_terminal(stream, str(tmp_path / "out")).collect() == []
+
+
+def test_a_stream_has_files_by_size_and_takes_a_third_at_a_time(spark, tmp_path, monkeypatch):
+    data = with_extras(random_polls(9, hot=60)) + [(3, None, "running", 0, ["late"], None, None)] * 2
+    polls = spark.createDataFrame(data, SCHEMA)
+    monkeypatch.setattr(registry, "fresh_dir", lambda spark, label: str(tmp_path / label))
+    monkeypatch.setattr(registry, "FILE_BYTES", 300)
+    stream = registry.stream(spark, polls, "polls")
+    files = spark.read.schema(polls.schema).parquet(str(tmp_path / "polls")).inputFiles()
+    assert len(files) > 6
+    done = sinks.drain(stream, str(tmp_path / "out"), table=True)
+    assert len(done) == 3
+    assert rows_of(sinks.sink_rows(spark, str(tmp_path / "out"), polls.schema)) == rows_of(polls)
+    assert sinks.drain(registry.stream(spark, polls.limit(0), "none"), str(tmp_path / "none-out"), table=True) is not None
+    assert sinks.sink_rows(spark, str(tmp_path / "none-out"), polls.schema).collect() == []
