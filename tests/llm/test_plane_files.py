@@ -1,5 +1,6 @@
 """Bit-plane files: exact round trips."""
 
+import random
 import zlib
 
 import numpy as np
@@ -60,6 +61,27 @@ def test_pieces_in_use_outlive_the_bound_and_others_go(monkeypatch):
     assert merged.count("often") == 1
 
 
+def test_texts_put_together_merge_each_piece_once(monkeypatch):
+    monkeypatch.setattr(plane_files, "_CACHED", 50)
+    tokens, merged = plane_files.Tokens(PATH), []
+    monkeypatch.setattr(tokens, "_merged", lambda piece: merged.append(piece) or plane_files.Tokens._merged(tokens, piece))
+    texts = [" ".join(f"{start}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)) for start in "abc" * 4]
+    texts += ["日本", "", texts[0]]
+    for text, ids in zip(texts, tokens.many(texts), strict=True):
+        assert list(ids) == tokens.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(merged) == len(set(merged)) == 900
+
+
+def test_cuts_are_those_of_the_library():
+    random_ = random.Random(5)
+    tokens = plane_files.Tokens(PATH)
+    plain = [*"'aAbsStTmMdDvVeErRlL019 \n\t\r.,!<|-_ßéÉÿ¡«»¿", "'", "'", "'s", "'ll", "'re", "'ve", "'LL", "  "]
+    texts = ["".join(random_.choices(plain, k=random_.randrange(40))) for _ in range(4000)]
+    texts += ["".join(random_.choices([*plain, "日", "ª", "\xa0"], k=random_.randrange(20))) for _ in range(2000)]
+    for text, ids in zip(texts, tokens.many(texts), strict=True):
+        assert list(ids) == tokens.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 @pytest.mark.parametrize("block_ids,shards", [(65_536, 3), (16, 2), (1, 1)])
 def test_files_hold_every_document(spark, docs, tmp_path, prose, block_ids, shards):
     rows = [*ODD, (50, prose(300, 1)), (-3, "negative id")]
